@@ -1,0 +1,154 @@
+"""Joins, features, daily metrics."""
+
+from datetime import date
+
+import pytest
+from helpers import rows, table, ts
+from pyspark.sql import functions as F
+
+from tidemark import contracts as C
+from tidemark.operators.anomalies import app_anomalies_daily, volume_outliers
+from tidemark.operators.joins import heavy_keys, inner_join, orphans_by_edge
+from tidemark.plans import gold, silver
+from tidemark.plans.metrics import Bronze, bronze_facts, gold_daily_metrics
+
+AS_OF = "2024-01-30 12:00:00"
+
+
+def test_amount_cap(spark):
+    txns = table(spark, "txns", {"txn_id": "in", "amount": 100.0}, {"txn_id": "edge", "amount": 150.0},
+                 {"txn_id": "over", "amount": 160.0}, {"txn_id": "lost", "account_id": "zz"})
+    accounts = silver.silver_accounts(table(spark, "accounts", {}))
+    out = gold.gold_transaction_features(silver.silver_transactions(txns), accounts)
+    assert out.columns == ["txn_id", "account_id", "amount", "timestamp", "location", "approved_limit", "txn_limit_ratio"]
+    assert rows(out, "txn_id", "txn_limit_ratio") == [("edge", 1.5), ("in", 1.0)]
+    strict = gold.gold_transaction_features(silver.silver_transactions(txns, keep_all=True), accounts, cap=1.1, keep_all=True)
+    assert rows(strict, "txn_id", "state") == [("in", "NA")]
+
+
+def test_bounded_join_drops_early_and_late(spark):
+    txns = table(spark, "txns", *({"txn_id": str(d), "timestamp": ts(f"2024-01-{d:02d} 00:00:00")} for d in (9, 10, 15, 16)))
+    accounts = table(spark, "accounts", {"account_open_timestamp": ts("2024-01-10 00:00:00")})
+    out = gold.gold_transaction_features(silver.silver_transactions(txns), accounts, bound_days=5)
+    assert rows(out, "txn_id") == [("10",), ("15",)]
+
+
+def test_accounts_need_an_approved_valid_application(spark):
+    apps = gold.gold_applications(silver.silver_applications(table(
+        spark, "apps", {"app_id": "ok"}, {"app_id": "waiting", "application_status": "submitted"},
+        {"app_id": "minor", "applicant_age": 17})))
+    accounts = table(spark, "accounts", *({"account_id": a, "app_id": a} for a in ("ok", "waiting", "minor", "none")))
+    out = gold.gold_accounts(silver.silver_accounts(accounts), apps)
+    assert out.columns == ["account_id", "app_id", "approved_limit", "interest_rate", "account_open_timestamp", "applicant_age", "annual_income"]
+    assert rows(out, "account_id", "applicant_age") == [("ok", 30)]
+    wide = gold.gold_accounts(silver.silver_accounts(accounts), apps, keep_all=True)
+    assert set(wide.columns) == set(silver.silver_accounts(accounts).columns) | {"applicant_age", "annual_income", "req_credit_limit"}
+
+
+@pytest.mark.parametrize("hot", [None, ["k0"], []])
+def test_salted_join_equals_plain_join_under_skew(spark, hot):
+    left = spark.range(900).select(
+        F.when(F.col("id") % 3 == 0, "k0").otherwise(F.concat(F.lit("k"), F.col("id") % 50)).alias("key"), F.col("id").alias("l"))
+    right = spark.range(60).select(F.concat(F.lit("k"), F.col("id") % 40).alias("key"), F.col("id").alias("r"))
+    plain = rows(inner_join(left, right, "key"), "key", "l", "r")
+    assert rows(inner_join(left, right, "key", 7, "l", hot), "key", "l", "r") == plain
+
+
+def test_heavy_keys_are_few_and_exact(spark):
+    df = spark.range(1000).select(F.when(F.col("id") < 400, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    assert heavy_keys(df, "k", 0.1) == ["hot"]
+    assert heavy_keys(df.filter("k IS NULL"), "k") == []
+
+
+def test_orphans_against_brute_force(spark):
+    visits = table(spark, "visits", {"visitor_id": "v1"}, {"visitor_id": "v1"}, {"visitor_id": None})
+    apps = table(spark, "apps", {"app_id": "a1", "visitor_id": "v1"}, {"app_id": "a2", "visitor_id": "v2"}, {"app_id": "a3", "visitor_id": None})
+    accounts = table(spark, "accounts", {"account_id": "c1", "app_id": "a1"}, {"account_id": "c2", "app_id": "a9"})
+    txns = table(spark, "txns", *({"txn_id": str(i), "account_id": a} for i, a in enumerate(["c1", "c1", "c7", "c7", "c7", None])))
+    got = rows(orphans_by_edge(visits, apps, accounts, txns), "edge", "child_rows", "orphan_rows")
+    edges = [("account -> application", accounts, apps, "app_id"), ("application -> visit", apps, visits, "visitor_id"),
+             ("transaction -> account", txns, accounts, "account_id")]
+    assert got == [(name, child.count(), child.join(parent, key, "left_anti").count()) for name, child, parent, key in edges]
+
+
+def _funnel(spark):
+    visits = table(
+        spark, "visits",
+        {"timestamp": ts("2024-01-01 10:00:00"), "_load_timestamp": ts("2024-01-01 12:00:00")},
+        {"timestamp": ts("2024-01-01 11:00:00"), "_load_timestamp": ts("2024-01-01 11:00:00"), "event_type": "apply_click", "campaign_id": None},
+        {"timestamp": ts("2024-01-01 11:00:00"), "event_type": "view_pricing"},
+        {"timestamp": ts("2024-01-02 11:00:00"), "_load_timestamp": ts("2024-01-02 11:00:00")})
+    apps = table(
+        spark, "apps",
+        {"app_id": "a1", "timestamp": ts("2024-01-01 12:00:00"), "_load_timestamp": ts("2024-01-01 16:00:00"), "req_credit_limit": 700},
+        {"app_id": "a2", "timestamp": ts("2024-01-01 12:00:00"), "applicant_age": 17},
+        {"app_id": "a3", "timestamp": ts("2024-01-03 12:00:00"), "application_status": "rejected", "_load_timestamp": ts("2024-01-03 12:00:00")},
+        {"app_id": "a4", "timestamp": None})
+    accounts = table(spark, "accounts", {"account_open_timestamp": ts("2024-01-05 00:00:00")})
+    txns = table(
+        spark, "txns",
+        {"txn_id": "t1", "amount": 80.0, "timestamp": ts("2024-01-04 10:00:00"), "_load_timestamp": ts("2024-01-04 13:00:00")},
+        {"txn_id": "t2", "amount": 20.0, "timestamp": ts("2024-01-04 10:00:00"), "_load_timestamp": ts("2024-01-04 10:00:00")})
+    return Bronze(visits, apps, accounts, txns)
+
+
+def _metrics(bronze, full):
+    visits = silver.silver_visitor_events(bronze.visitor_events, AS_OF, 60)
+    apps = silver.silver_applications(bronze.applications)
+    gold_apps = gold.gold_applications(apps)
+    txns = gold.gold_transaction_features(silver.silver_transactions(bronze.transactions), silver.silver_accounts(bronze.accounts))
+    rules = {e: silver.technical_rules(e, AS_OF, 60) for e in C.ENTITIES}
+    return gold_daily_metrics(visits, gold_apps, txns, bronze_facts(bronze, apps, rules) if full else None)
+
+
+def test_daily_metrics_base(spark):
+    bronze = _funnel(spark)
+    # a day with applications and no visit has rate 0, and no NULL day appears
+    got = {r["date"]: r for r in _metrics(bronze, False).collect()}
+    assert sorted(got) == [date(2024, 1, d) for d in (1, 2, 3, 4)]
+    first, third, fourth = got[date(2024, 1, 1)], got[date(2024, 1, 3)], got[date(2024, 1, 4)]
+    assert (first.total_visits, first.applications_count, first.approvals_count, first.conversion_rate, first.approval_rate) == (2, 1, 1, 0.5, 1.0)
+    assert (third.total_visits, third.applications_count, third.conversion_rate, third.approval_rate) == (0, 1, 0.0, 0.0)
+    assert (fourth.total_transactions, fourth.avg_txn_amount, fourth.total_visits) == (2, 50.0, 0)
+    assert {(r.detected_tdq_bdq_anomalies_count, r.ml_anomalies_count) for r in got.values()} == {(0, 0)}
+
+
+def test_daily_metrics_full(spark):
+    got = {r["date"]: r for r in _metrics(_funnel(spark), True).collect()}
+    # the day on which only an account opened is not a KPI day
+    assert sorted(got) == [date(2024, 1, d) for d in (1, 2, 3, 4)]
+    first, fourth = got[date(2024, 1, 1)], got[date(2024, 1, 4)]
+    assert first.detected_tdq_bdq_anomalies_count == 2          # event type, age
+    assert first.ml_anomalies_count == 1 and fourth.ml_anomalies_count == 1
+    assert first.apply_clicks == 1
+    assert first.schema_compliance_pct == pytest.approx(80.0)   # 4 of 5
+    assert first.campaign_id_null_pct == pytest.approx(100 / 3)
+    # accepted rows only: visits 2 h and 0 h, applications 4 h and 700 h (29 d 4 h late)
+    late = (ts("2024-01-30 12:00:00") - ts("2024-01-01 12:00:00")).total_seconds() / 3600
+    assert first.avg_freshness_lag_hours == pytest.approx((2 + 0 + 4 + late) / 4)
+    assert fourth.avg_freshness_lag_hours == pytest.approx(1.5)
+    assert fourth.campaign_id_null_pct is None
+
+
+def test_conversion_above_one_stops_the_job(spark):
+    visits = silver.silver_visitor_events(table(spark, "visits", {}), AS_OF)
+    apps = gold.gold_applications(silver.silver_applications(table(spark, "apps", {"app_id": "1"}, {"app_id": "2"})))
+    none = gold.gold_transaction_features(silver.silver_transactions(table(spark, "txns", {"amount": 0.0})), table(spark, "accounts", {}))
+    with pytest.raises(Exception, match="bdq_conversion_rate_range"):
+        gold_daily_metrics(visits, apps, none).collect()
+
+
+def test_anomalies_skip_quiet_days(spark):
+    apps = gold.gold_applications(silver.silver_applications(table(
+        spark, "apps", {"req_credit_limit": 601, "timestamp": ts("2024-01-01 23:59:59")},
+        {"req_credit_limit": 600, "timestamp": ts("2024-01-02 00:00:00")}, {"req_credit_limit": 900, "timestamp": ts("2024-01-03 00:00:00")})))
+    assert rows(app_anomalies_daily(apps)) == [(date(2024, 1, 1), 1), (date(2024, 1, 3), 1)]
+
+
+def test_volume_outlier_is_found(spark):
+    days = [(date(2024, 1, 1 + i), 100 + i % 3, 0, 0) for i in range(20)] + [(date(2024, 1, 21), 250, 0, 0)]
+    df = spark.createDataFrame(days, "date date, total_visits bigint, applications_count bigint, total_transactions bigint")
+    flagged = volume_outliers(df).filter("is_outlier = 1")
+    assert rows(flagged, "date", "metric", "history") == [(date(2024, 1, 21), "total_visits", 14)]
+    early = volume_outliers(df).filter("date < DATE '2024-01-08' AND z_score IS NOT NULL")
+    assert early.count() == 0
