@@ -48,7 +48,7 @@ def test_stream_in_two_runs_equals_batch(spark, landing, tmp_path):
     for entity, df in _entities(spark, small).items():
         moment = C.event_time(entity)
         land(df.filter(f"{moment} >= '2024-01-15'"), f"{folder}/{entity}", "20240115_live", moment)
-    stream = Pipeline(spark, _config(folder, tmp_path / "stream", salts=3))
+    stream = Pipeline(spark, _config(folder, tmp_path / "stream", salts=3, lookback_days=1))
     stream.run_stream()
     counted = observed_totals(stream.queries["silver_accounts"], "silver_accounts")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark import contracts as C
 from tidemark.operators.anomalies import FLAG, flag_above
-from tidemark.operators.quality import quality_log, rejected_daily, violations_by_rule
+from tidemark.operators.quality import quality_facts, quality_log, rejected_daily, violations_by_rule
 from tidemark.operators.rules import FAILED, Rule, apply_rules, check, mark_failures, one_of, stop_on_failure
 from tidemark.plans import gold, silver
 from tidemark.plans.metrics import METRIC_RULES
@@ -97,6 +97,15 @@ def test_clean_rejected_and_log(spark):
     assert rows(rejected_daily(log)) == [(day, 3)]
 
 
+def test_log_from_marks_equals_log_from_rules(spark):
+    df = table(spark, "apps", {}, {"applicant_age": None}, {"applicant_age": 101, "annual_income": 0.0}, {"timestamp": None, "annual_income": None})
+    rules = [*silver.APPLICATION_RULES, check("odd", "applicant_age % 2 = 1", "applicant_age", action="warn")]
+    marked = mark_failures(df, rules)
+    assert rows(quality_log(marked, rules, "t")) == rows(quality_log(df, rules, "t"))
+    facts = [rows(quality_facts(d, rules, timeliness=True, null_share_of="visitor_id")) for d in (df, marked)]
+    assert facts[0] == facts[1]
+
+
 def test_warn_rules_only_count(spark):
     warn = [check("always_odd", "1 = 2", action="warn")]
     result = apply_rules(table(spark, "apps", {}), warn, "apps")

@@ -5,21 +5,32 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import event_day, hours_between
-from tidemark.operators.rules import Rule, all_pass, split_applicable
+from tidemark.operators.rules import FAILED, Rule, all_pass, split_applicable
+
+
+def _broken(df: DataFrame, rule: Rule) -> Column:
+    """Whether a row breaks ``rule``: read from its marks where it has them, else evaluated.
+
+    Marks tell what was decided when the row came in, also after a moving bound such as
+    freshness has moved on, and need one column where rules need many.
+    """
+    if FAILED in df.columns and rule.action == "drop":
+        return F.array_contains(FAILED, rule.name)
+    return ~rule.passes
 
 
 def quality_log(df: DataFrame, rules: Sequence[Rule], table: str, event_time: str = "timestamp") -> DataFrame:
     """One row per day and rule: rows checked, rows failed. Zeros are kept.
 
-    One aggregate computes every rule's count side by side, so no row is multiplied and
+    ``df`` is raw, or marked by ``mark_failures``. One aggregate computes every rule's count side by side, so no row is multiplied and
     the exchange carries one row per task and day. Rows without an event day are logged
     under a NULL date.
     """
     run, skipped = split_applicable(df, rules)
-    counts = [F.count_if(~r.passes).alias(r.name) for r in run]
+    counts = [F.count_if(_broken(df, r)).alias(r.name) for r in run]
     daily = df.groupBy(event_day(event_time).alias("date")).agg(F.count(F.lit(1)).alias("checked_rows"), *counts)
 
     def entry(rule: Rule, status: str, checked, failed):
@@ -63,20 +74,23 @@ def quality_facts(
     null_share_of: str | None = None,
     technical: bool = True,
 ) -> DataFrame:
-    """Per row: how many rules it broke and what it adds to the day's quality figures.
+    """Per row, raw or marked: how many rules it broke and what it adds to the day's figures.
 
     A narrow projection meant to be unioned with other facts and summed per day once
     (``plans.metrics``). ``technical=False`` adds to the count of failed checks only.
     """
-    run, _ = split_applicable(df, rules)
-    broken = reduce(lambda a, b: a + b, ((~r.passes).cast("int") for r in run if r.action == "drop"), F.lit(0))
+    if FAILED in df.columns:
+        broken, clean = F.size(FAILED), F.size(FAILED) == 0
+    else:
+        run, _ = split_applicable(df, rules)
+        broken = reduce(lambda a, b: a + b, (_broken(df, r).cast("int") for r in run if r.action == "drop"), F.lit(0))
+        clean = all_pass(run)
     columns = [event_day(event_time).alias("date"), broken.alias("failed_checks")]
     if technical:
-        clean = all_pass(run)
         columns += [F.lit(1).alias("bronze_rows"), clean.cast("int").alias("compliant_rows")]
         if timeliness:
-            lag = F.when(clean, hours_between(F.col(event_time), F.col("_load_timestamp")))
-            columns.append(lag.alias("lag_hours"))
+            loaded = "tdq_processed_at" if "tdq_processed_at" in df.columns else "_load_timestamp"
+            columns.append(F.when(clean, hours_between(F.col(event_time), F.col(loaded))).alias("lag_hours"))
     if null_share_of:
         columns += [
             F.lit(1).alias("campaign_rows"),

@@ -63,7 +63,7 @@ def transaction_facts(gold_txn: DataFrame, threshold: float = C.TXN_ANOMALY_RATI
 
 @dataclass(frozen=True)
 class Bronze:
-    """The four raw tables, for the figures that must also see rejected rows."""
+    """All rows of the four inputs, raw or marked, for figures that also see rejected rows."""
 
     visitor_events: DataFrame
     applications: DataFrame
@@ -71,18 +71,19 @@ class Bronze:
     transactions: DataFrame
 
 
-def bronze_facts(bronze: Bronze, silver_apps: DataFrame, rules: Mapping[str, Sequence[Rule]]) -> list[DataFrame]:
-    """Compliance, timeliness, null share and failed checks, one scan per bronze table.
+def bronze_facts(bronze: Bronze, business_input: DataFrame, rules: Mapping[str, Sequence[Rule]]) -> list[DataFrame]:
+    """Compliance, timeliness, null share and failed checks, one scan per table.
 
     Lag is averaged over accepted visits, applications and transactions; failed checks
-    cover the technical ``rules`` of all four tables and the business rules.
+    cover the technical ``rules`` of all four tables and the business rules, which see the
+    silver applications (``business_input``, raw or marked).
     """
     return [
         quality_facts(bronze.visitor_events, rules["visitor_events"], timeliness=True, null_share_of="campaign_id"),
         quality_facts(bronze.applications, rules["applications"], timeliness=True),
         quality_facts(bronze.accounts, rules["accounts"], event_time=C.event_time("accounts")),
         quality_facts(bronze.transactions, rules["transactions"], timeliness=True),
-        quality_facts(silver_apps, BUSINESS_RULES, technical=False),
+        quality_facts(business_input, BUSINESS_RULES, technical=False),
     ]
 
 

@@ -38,6 +38,7 @@ class Config:
     bound_days: int | None = None       # ends the state of the transaction join
     salts: int = 1                      # tasks a hot account is spread over
     max_files: int | None = None        # per micro-batch
+    lookback_days: int | None = None    # how long before its account an application may lie
     load_ts: str | None = None          # SQL for the ingest stamp, for repeatable runs
 
 
@@ -100,7 +101,8 @@ class Pipeline:
         write(gold_accounts(read("silver_accounts"), read("gold_applications")), "gold_accounts")
         transactions = read("silver_transactions")
         hot = heavy_keys(transactions, "account_id") if self.config.salts > 1 else None
-        write(self._gold_txn(transactions, read("silver_accounts"), hot), "gold_transaction_features", ("date",))
+        features = self._gold_txn(transactions, read("silver_accounts"), hot)
+        write(features, "gold_transaction_features", ("date",), balance=True)
         write(self._app_anomalies(read("gold_applications")), "gold_app_ml_anomaly_agg")
         write(self._txn_anomalies(read("gold_transaction_features")), "gold_txn_ml_anomaly_agg")
         self.refresh_metrics()
@@ -127,7 +129,7 @@ class Pipeline:
                     silver["accounts"],
                     self.store.path("gold_accounts"),
                     self.store.checkpoint("gold_accounts"),
-                    lambda batch: gold_accounts(batch, self.table("gold_applications")),
+                    self._accounts_of_batch,
                     name="gold_accounts",
                 ),
             )
@@ -140,6 +142,19 @@ class Pipeline:
             self._stream("gold_txn_ml_anomaly_agg", self._txn_anomalies(txn))
         self.refresh_metrics()
 
+    def _accounts_of_batch(self, batch: DataFrame) -> DataFrame:
+        """Join a micro-batch of accounts to the applications validated so far.
+
+        ``lookback_days`` prunes the applications to the days the batch can refer to;
+        without it every batch scans all of them.
+        """
+        apps = self.table("gold_applications")
+        if self.config.lookback_days is not None:
+            first = batch.agg(F.to_date(F.min("account_open_timestamp"))).first()[0]
+            if first is not None:
+                apps = apps.filter(F.col("date") >= F.date_sub(F.lit(first), self.config.lookback_days))
+        return gold_accounts(batch, apps)
+
     def _app_anomalies(self, apps: DataFrame) -> DataFrame:
         return app_anomalies_daily(apps.drop("date"), self.config.app_threshold, self.config.delay)
 
@@ -157,25 +172,24 @@ class Pipeline:
     def refresh_metrics(self, since: str | None = None) -> None:
         """Recompute quality log and daily metrics, all days or those from ``since`` on.
 
-        Tables are laid out by event day, so ``since`` prunes every scan to those days and
-        replaces only their partitions.
+        Both read the marks the checked tables carry, so no rule runs a second time and few
+        columns are scanned. Tables are laid out by event day: ``since`` prunes every scan
+        to those days and replaces only their partitions.
         """
         def days(df: DataFrame) -> DataFrame:
             kept = df if since is None else df.filter(F.col("date") >= F.lit(since).cast("date"))
             return kept.drop("date")
 
-        raw = Bronze(*(days(self.store.read(f"bronze_{e}")) for e in C.ENTITIES))
-        silver_apps = days(self.table("silver_applications"))
-        logs = [
-            quality_log(getattr(raw, e), self._rules(e), f"silver_{e}", C.event_time(e)) for e in C.ENTITIES
-        ]
-        logs.append(quality_log(silver_apps, BUSINESS_RULES, "gold_applications"))
+        marked = Bronze(*(days(self.store.read(f"silver_{e}")) for e in C.ENTITIES))
+        business = days(self.store.read("gold_applications"))
+        logs = [quality_log(getattr(marked, e), self._rules(e), f"silver_{e}", C.event_time(e)) for e in C.ENTITIES]
+        logs.append(quality_log(business, BUSINESS_RULES, "gold_applications"))
         refresh = since is not None
-        self.store.write(union_logs(logs), "quality_log", ("date",), refresh)
+        self.store.write(union_logs(logs), "quality_log", ("date",), refresh, balance=True)
         metrics = gold_daily_metrics(
             days(self.table("silver_visitor_events")),
             days(self.table("gold_applications")),
             days(self.table("gold_transaction_features")),
-            bronze_facts(raw, silver_apps, {e: self._rules(e) for e in C.ENTITIES}),
+            bronze_facts(marked, business, {e: self._rules(e) for e in C.ENTITIES}),
         )
-        self.store.write(metrics, "gold_daily_metrics", ("date",), refresh)
+        self.store.write(metrics, "gold_daily_metrics", ("date",), refresh, balance=True)

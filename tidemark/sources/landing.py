@@ -30,15 +30,17 @@ def folder_date() -> Column:
     return F.nullif(text, F.lit("")).cast("date")
 
 
-def land(df: DataFrame, path: str, suffix: str, ts_col: str) -> bool:
+def land(df: DataFrame, path: str, suffix: str, ts_col: str, balance: bool = True) -> bool:
     """Append ``df`` as parquet by event date; False, and nothing written, where it is empty.
 
-    Rows are rebalanced by date first: a day becomes a few full files instead of one
+    ``balance`` shuffles rows by date first: a day becomes a few full files instead of one
     sliver per task, and AQE splits a day too large for one task.
     """
     if df.isEmpty():
         return False
-    dated = with_date(df, ts_col).hint("rebalance", "date")
+    dated = with_date(df, ts_col)
+    if balance:
+        dated = dated.hint("rebalance", "date")
     dated.write.mode("append").partitionBy("date").parquet(f"{path.rstrip('/')}/{suffix}")
     return True
 

@@ -37,13 +37,17 @@ class TableStore:
 
     # --- writing ---
 
-    def write(self, df: DataFrame, name: str, partition_by: tuple[str, ...] = (), refresh: bool = False) -> None:
+    def write(
+        self, df: DataFrame, name: str, partition_by: tuple[str, ...] = (), refresh: bool = False, balance: bool = False
+    ) -> None:
         """Replace a table; with ``refresh`` only the partitions ``df`` has rows for.
 
-        Rows are rebalanced by partition first: few full files per folder, and AQE splits
-        a folder too large for one task.
+        ``balance`` shuffles rows by partition first, for input that has every folder's
+        rows in every task, as a join leaves it: few full files per folder, and AQE splits
+        a folder too large for one task. Input still in the order of dated files needs no
+        such shuffle.
         """
-        if partition_by:
+        if balance:
             df = df.hint("rebalance", *partition_by)
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if refresh else "static")
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(self.path(name))
@@ -81,7 +85,7 @@ class TableStore:
 
     def compact(self, name: str, into: str, partition_by: tuple[str, ...] = ("date",)) -> str:
         """Rewrite a table of many small files as ``into``; the source stays as it is."""
-        self.write(self.read(name), into, partition_by)
+        self.write(self.read(name), into, partition_by, balance=True)
         return self.path(into)
 
     # --- SQL ---
