@@ -201,7 +201,7 @@ _VIEWS: dict[str, str] = {
 _DAY = "strftime(date, '%Y-%m-%d')"
 
 _TXN_FEATURES = """
-    SELECT txn_id, account_id, amount, timestamp, location, approved_limit, round(txn_limit_ratio, 6) AS txn_limit_ratio
+    SELECT txn_id, account_id, amount, timestamp, location, approved_limit, txn_limit_ratio
     FROM g_txns"""
 
 _METRICS_BASE = f"""
@@ -243,26 +243,30 @@ _QUERIES: dict[str, str] = {
                    CASE WHEN tdq_valid_app_status = 1 THEN 'tdq_valid_app_status' END) AS failed_rules
         FROM r_apps
         WHERE tdq_app_id_not_null + tdq_age_numeric_range + tdq_income_positive + tdq_valid_employment + tdq_valid_app_status > 0""",
+    "landed_counts": """
+        SELECT 'events' AS "table", count(*) AS rows FROM events
+        UNION ALL SELECT 'orders', count(*) FROM orders
+        UNION ALL SELECT 'lineitem', count(*) FROM lineitem""",
     "landed_rows_by_date": """
         SELECT 'visitor_events' AS "table", strftime(timestamp, '%Y-%m-%d') AS date, count(*) AS rows FROM b_visits GROUP BY 1, 2
         UNION ALL SELECT 'applications', strftime(timestamp, '%Y-%m-%d'), count(*) FROM b_apps GROUP BY 1, 2
         UNION ALL SELECT 'accounts', strftime(account_open_timestamp, '%Y-%m-%d'), count(*) FROM b_accounts GROUP BY 1, 2
         UNION ALL SELECT 'transactions', strftime(timestamp, '%Y-%m-%d'), count(*) FROM b_txns GROUP BY 1, 2""",
-    "gold_applications": "SELECT * REPLACE (round(req_income_ratio, 6) AS req_income_ratio, round(req_credit_limit, 6) AS req_credit_limit) FROM g_apps",
+    "gold_applications": "SELECT * FROM g_apps",
     "gold_accounts": _GOLD_ACCOUNTS,
     "gold_accounts_all_columns": """
-        SELECT a.*, p.applicant_age, p.annual_income, round(p.req_credit_limit, 6) AS req_credit_limit
+        SELECT a.*, p.applicant_age, p.annual_income, p.req_credit_limit
         FROM s_accounts a JOIN g_apps p ON a.app_id = p.app_id WHERE p.application_status = 'approved'""",
     "gold_transaction_features": _TXN_FEATURES,
     "gold_transaction_features_salted": _TXN_FEATURES,
     "gold_transaction_features_bounded": """
         SELECT t.txn_id, t.account_id, t.amount, t.timestamp, t.location, a.approved_limit,
-               round(t.amount / a.approved_limit, 6) AS txn_limit_ratio
+               t.amount / a.approved_limit AS txn_limit_ratio
         FROM s_txns t JOIN s_accounts a ON t.account_id = a.account_id
         WHERE t.amount <= a.approved_limit * 1.5::DOUBLE AND t.timestamp >= a.account_open_timestamp
           AND t.timestamp <= a.account_open_timestamp + INTERVAL 5 DAY""",
     "gold_transaction_features_strict_cap": """
-        SELECT t.*, a.approved_limit, round(t.amount / a.approved_limit, 6) AS txn_limit_ratio
+        SELECT t.*, a.approved_limit, t.amount / a.approved_limit AS txn_limit_ratio
         FROM s_txns t JOIN s_accounts a ON t.account_id = a.account_id WHERE t.amount <= a.approved_limit * 1.1::DOUBLE""",
     "daily_metrics_base": f"""{_METRICS_BASE},
            CAST(0 AS BIGINT) AS detected_tdq_bdq_anomalies_count, CAST(0 AS BIGINT) AS ml_anomalies_count FROM metrics""",
@@ -416,5 +420,5 @@ def statements() -> dict[str, str]:
     done = {}
     for key, sql in _QUERIES.items():
         ctes = ", ".join(f"{name} AS ({_VIEWS[name]})" for name in _needed(sql))
-        done[key] = f"WITH {ctes} {sql.strip()}"
+        done[key] = f"WITH {ctes} {sql.strip()}" if ctes else sql.strip()
     return done

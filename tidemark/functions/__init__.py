@@ -5,8 +5,7 @@ from tidemark.functions.scalars import (
     elapsed_label,
     event_day,
     hours_between,
-    percent,
     ratio,
 )
 
-__all__ = ["at", "elapsed_label", "event_day", "hours_between", "percent", "ratio"]
+__all__ = ["at", "elapsed_label", "event_day", "hours_between", "ratio"]

@@ -30,13 +30,9 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator, denominator)
 
 
-def hours_between(start: Column, end: Column) -> Column:
-    """Signed hours from ``start`` to ``end``, to the microsecond."""
-    return (F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / F.lit(3.6e9)
-
-
-def percent(part: Column, whole: Column) -> Column:
-    return ratio(part * F.lit(100.0), whole)
+def hours_between(start: str, end: str) -> str:
+    """SQL: signed hours between two columns, to the microsecond."""
+    return f"(unix_micros(timestamp({end})) - unix_micros(timestamp({start}))) / 3.6e9D"
 
 
 def elapsed_label(seconds: Column) -> Column:

@@ -5,21 +5,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import event_day, hours_between
 from tidemark.operators.rules import FAILED, Rule, all_pass, split_applicable
 
 
-def _broken(df: DataFrame, rule: Rule) -> Column:
-    """Whether a row breaks ``rule``: read from its marks where it has them, else evaluated.
+def _broken(df: DataFrame, rule: Rule) -> str:
+    """SQL: does a row break ``rule``? Read from its marks where it has them, else evaluated.
 
     Marks tell what was decided when the row came in, also after a moving bound such as
     freshness has moved on, and need one column where rules need many.
     """
     if FAILED in df.columns and rule.action == "drop":
-        return F.array_contains(FAILED, rule.name)
-    return ~rule.passes
+        return f"array_contains({FAILED}, '{rule.name}')"
+    return f"NOT {rule.sql}"
 
 
 def quality_log(df: DataFrame, rules: Sequence[Rule], table: str, event_time: str = "timestamp") -> DataFrame:
@@ -30,22 +30,18 @@ def quality_log(df: DataFrame, rules: Sequence[Rule], table: str, event_time: st
     under a NULL date.
     """
     run, skipped = split_applicable(df, rules)
-    counts = [F.count_if(_broken(df, r)).alias(r.name) for r in run]
+    counts = [F.expr(f"count_if({_broken(df, r)}) AS {r.name}") for r in run]
     daily = df.groupBy(event_day(event_time).alias("date")).agg(F.count(F.lit(1)).alias("checked_rows"), *counts)
 
-    def entry(rule: Rule, status: str, checked, failed):
-        return F.struct(
-            F.lit(rule.name).alias("rule"),
-            F.lit(rule.action).alias("action"),
-            F.lit(status).alias("status"),
-            checked.alias("checked_rows"),
-            failed.alias("failed_rows"),
+    def entry(rule: Rule, status: str, checked: str, failed: str) -> str:
+        return (
+            f"named_struct('rule', '{rule.name}', 'action', '{rule.action}', 'status', '{status}', "
+            f"'checked_rows', {checked}, 'failed_rows', {failed})"
         )
 
-    none = F.lit(0).cast("bigint")
-    entries = [entry(r, "checked", F.col("checked_rows"), F.col(r.name)) for r in run]
-    entries += [entry(r, "skipped", none, none) for r in skipped]
-    return daily.select("date", F.lit(table).alias("table_name"), F.inline(F.array(*entries)))
+    entries = [entry(r, "checked", "checked_rows", r.name) for r in run]
+    entries += [entry(r, "skipped", "0L", "0L") for r in skipped]
+    return daily.selectExpr("date", f"'{table}' AS table_name", f"inline(array({', '.join(entries)}))")
 
 
 def union_logs(logs: Sequence[DataFrame]) -> DataFrame:
@@ -80,20 +76,17 @@ def quality_facts(
     (``plans.metrics``). ``technical=False`` adds to the count of failed checks only.
     """
     if FAILED in df.columns:
-        broken, clean = F.size(FAILED), F.size(FAILED) == 0
+        broken, clean = f"size({FAILED})", f"size({FAILED}) = 0"
     else:
         run, _ = split_applicable(df, rules)
-        broken = reduce(lambda a, b: a + b, (_broken(df, r).cast("int") for r in run if r.action == "drop"), F.lit(0))
+        broken = " + ".join(f"int({_broken(df, r)})" for r in run if r.action == "drop") or "0"
         clean = all_pass(run)
-    columns = [event_day(event_time).alias("date"), broken.alias("failed_checks")]
+    columns = [f"to_date({event_time}) AS date", f"{broken} AS failed_checks"]
     if technical:
-        columns += [F.lit(1).alias("bronze_rows"), clean.cast("int").alias("compliant_rows")]
+        columns += ["1 AS bronze_rows", f"int({clean}) AS compliant_rows"]
         if timeliness:
             loaded = "tdq_processed_at" if "tdq_processed_at" in df.columns else "_load_timestamp"
-            columns.append(F.when(clean, hours_between(F.col(event_time), F.col(loaded))).alias("lag_hours"))
+            columns.append(f"IF({clean}, {hours_between(event_time, loaded)}, NULL) AS lag_hours")
     if null_share_of:
-        columns += [
-            F.lit(1).alias("campaign_rows"),
-            F.col(null_share_of).isNull().cast("int").alias("campaign_nulls"),
-        ]
-    return df.select(*columns)
+        columns += ["1 AS campaign_rows", f"int({null_share_of} IS NULL) AS campaign_nulls"]
+    return df.selectExpr(*columns)

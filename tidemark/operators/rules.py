@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -31,9 +30,14 @@ class Rule:
         if self.action not in ("drop", "fail", "warn"):
             raise ValueError(f"rule {self.name}: unknown action {self.action!r}")
 
+    @property
+    def sql(self) -> str:
+        """The predicate as SQL that is never NULL."""
+        return f"coalesce({self.predicate}, false)"
+
     @property
     def passes(self) -> Column:
-        return F.coalesce(F.expr(self.predicate), F.lit(False))
+        return F.expr(self.sql)
 
     def applies_to(self, df: DataFrame) -> bool:
         return not self.optional or set(self.columns) <= set(df.columns)
@@ -78,28 +82,27 @@ def split_applicable(df: DataFrame, rules: Sequence[Rule]) -> tuple[list[Rule],
     return run, [r for r in rules if r not in run]
 
 
-def all_pass(rules: Sequence[Rule], actions: Sequence[str] = ("drop",)) -> Column:
-    return reduce(lambda a, b: a & b, (r.passes for r in rules if r.action in actions), F.lit(True))
+def all_pass(rules: Sequence[Rule]) -> str:
+    """SQL: does a row pass every *drop* rule?"""
+    return " AND ".join(r.sql for r in rules if r.action == "drop") or "true"
 
 
 def keep_passing(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Rows that pass every *drop* rule.
 
-    Plain predicates, one filter each: Catalyst merges them and pushes them into the
-    parquet scan, which it cannot do through an array of failed names.
+    The plain conjunction of predicates: Catalyst pushes its parts into the parquet scan,
+    which it cannot do through an array of failed names.
     """
     run, _ = split_applicable(df, rules)
-    for rule in run:
-        if rule.action == "drop":
-            df = df.filter(rule.predicate)
-    return df
+    plain = " AND ".join(f"({r.predicate})" for r in run if r.action == "drop")
+    return df.filter(plain) if plain else df
 
 
 def mark_failures(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add the names of the failed *drop* rules as an array column, in rule order."""
     run, _ = split_applicable(df, rules)
-    names = [F.when(~r.passes, F.lit(r.name)) for r in run if r.action == "drop"]
-    failed = F.array_compact(F.array(*names)) if names else F.array().cast("array<string>")
+    names = ", ".join(f"IF({r.sql}, NULL, '{r.name}')" for r in run if r.action == "drop")
+    failed = F.expr(f"array_compact(array({names}))" if names else "CAST(array() AS array<string>)")
     return df.withColumn(FAILED, failed)
 
 

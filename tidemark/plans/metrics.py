@@ -11,10 +11,9 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidemark import contracts as C
-from tidemark.functions import event_day, percent, ratio
 from tidemark.operators.quality import quality_facts
 from tidemark.operators.rules import Rule, check, stop_on_failure
 from tidemark.plans.gold import BUSINESS_RULES
@@ -31,33 +30,36 @@ METRIC_RULES = [
 ]
 
 
-def _holds(condition: Column) -> Column:
-    return F.coalesce(condition, F.lit(False)).cast("int")
+def _flag(condition: str, name: str) -> str:
+    return f"int(coalesce({condition}, false)) AS {name}"
 
 
 def visit_facts(silver_visits: DataFrame) -> DataFrame:
-    return silver_visits.select(
-        event_day("timestamp").alias("date"),
-        _holds(F.col("visitor_id").isNotNull()).alias("visits"),
-        _holds(F.col("event_type") == "apply_click").alias("apply_clicks"),
+    return silver_visits.selectExpr(
+        "to_date(timestamp) AS date",
+        _flag("visitor_id IS NOT NULL", "visits"),
+        _flag("event_type = 'apply_click'", "apply_clicks"),
+        "1 AS core",
     )
 
 
 def application_facts(gold_apps: DataFrame, threshold: float = C.APP_ANOMALY_RATIO) -> DataFrame:
-    return gold_apps.select(
-        event_day("timestamp").alias("date"),
-        _holds(F.col("app_id").isNotNull()).alias("applications"),
-        _holds(F.col("application_status") == "approved").alias("approvals"),
-        _holds(F.col("req_income_ratio") > threshold).alias("ml_anomalies"),
+    return gold_apps.selectExpr(
+        "to_date(timestamp) AS date",
+        _flag("app_id IS NOT NULL", "applications"),
+        _flag("application_status = 'approved'", "approvals"),
+        _flag(f"req_income_ratio > {threshold}D", "ml_anomalies"),
+        "1 AS core",
     )
 
 
 def transaction_facts(gold_txn: DataFrame, threshold: float = C.TXN_ANOMALY_RATIO) -> DataFrame:
-    return gold_txn.select(
-        event_day("timestamp").alias("date"),
-        _holds(F.col("txn_id").isNotNull()).alias("transactions"),
-        F.col("amount").alias("txn_amount"),
-        _holds(F.col("txn_limit_ratio") > threshold).alias("ml_anomalies"),
+    return gold_txn.selectExpr(
+        "to_date(timestamp) AS date",
+        _flag("txn_id IS NOT NULL", "transactions"),
+        "amount AS txn_amount",
+        _flag(f"txn_limit_ratio > {threshold}D", "ml_anomalies"),
+        "1 AS core",
     )
 
 
@@ -87,6 +89,36 @@ def bronze_facts(bronze: Bronze, business_input: DataFrame, rules: Mapping[str,
     ]
 
 
+_BASE_SUMS = {
+    "core": "max(core)",
+    "total_visits": "coalesce(sum(visits), 0L)",
+    "applications_count": "coalesce(sum(applications), 0L)",
+    "approvals_count": "coalesce(sum(approvals), 0L)",
+    "total_transactions": "coalesce(sum(transactions), 0L)",
+    "avg_txn_amount": "coalesce(avg(txn_amount), 0D)",
+}
+_FULL_SUMS = {
+    "detected_tdq_bdq_anomalies_count": "coalesce(sum(failed_checks), 0L)",
+    "ml_anomalies_count": "coalesce(sum(ml_anomalies), 0L)",
+    "apply_clicks": "coalesce(sum(apply_clicks), 0L)",
+    "avg_freshness_lag_hours": "avg(lag_hours)",
+    "schema_compliance_pct": "try_divide(100D * sum(compliant_rows), sum(bronze_rows))",
+    "campaign_id_null_pct": "try_divide(100D * sum(campaign_nulls), sum(campaign_rows))",
+}
+_COLUMNS = (
+    "date",
+    "total_visits",
+    "applications_count",
+    "approvals_count",
+    "total_transactions",
+    "avg_txn_amount",
+    "coalesce(try_divide(applications_count, total_visits), 0D) AS conversion_rate",
+    "coalesce(try_divide(approvals_count, applications_count), 0D) AS approval_rate",
+)
+_BASE_COLUMNS = ("0L AS detected_tdq_bdq_anomalies_count", "0L AS ml_anomalies_count")
+_FULL_COLUMNS = tuple(_FULL_SUMS)
+
+
 def gold_daily_metrics(
     visits: DataFrame,
     apps: DataFrame,
@@ -101,57 +133,10 @@ def gold_daily_metrics(
     day; the quality log counts them.
     """
     full = quality is not None
-    core = [visit_facts(visits), application_facts(apps), transaction_facts(txns)]
-    facts = [df.withColumn("core", F.lit(1)) for df in core]
-    if full:
-        facts += quality
+    facts = [visit_facts(visits), application_facts(apps), transaction_facts(txns), *(quality or [])]
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), facts).filter("date IS NOT NULL")
-
-    def total(name: str, alias: str):
-        return F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(alias)
-
-    figures = [
-        F.max("core").alias("core"),
-        total("visits", "total_visits"),
-        total("applications", "applications_count"),
-        total("approvals", "approvals_count"),
-        total("transactions", "total_transactions"),
-        F.avg("txn_amount").alias("avg_txn_amount"),
-    ]
-    if full:
-        figures += [
-            total("failed_checks", "failed_checks"),
-            total("ml_anomalies", "ml_anomalies"),
-            total("apply_clicks", "apply_clicks"),
-            F.avg("lag_hours").alias("avg_freshness_lag_hours"),
-            percent(F.sum("compliant_rows"), F.sum("bronze_rows")).alias("schema_compliance_pct"),
-            percent(F.sum("campaign_nulls"), F.sum("campaign_rows")).alias("campaign_id_null_pct"),
-        ]
-    daily = merged.groupBy("date").agg(*figures).filter("core = 1")
-
-    columns = [
-        "date",
-        "total_visits",
-        "applications_count",
-        "approvals_count",
-        "total_transactions",
-        "avg_txn_amount",
-        ratio(F.col("applications_count"), F.col("total_visits")).alias("conversion_rate"),
-        ratio(F.col("approvals_count"), F.col("applications_count")).alias("approval_rate"),
-    ]
-    if full:
-        columns += [
-            F.col("failed_checks").alias("detected_tdq_bdq_anomalies_count"),
-            F.col("ml_anomalies").alias("ml_anomalies_count"),
-            "apply_clicks",
-            "avg_freshness_lag_hours",
-            "schema_compliance_pct",
-            "campaign_id_null_pct",
-        ]
-    else:
-        columns += [
-            F.lit(0).cast("bigint").alias("detected_tdq_bdq_anomalies_count"),
-            F.lit(0).cast("bigint").alias("ml_anomalies_count"),
-        ]
-    zeros = ["avg_txn_amount", "conversion_rate", "approval_rate"]
-    return stop_on_failure(daily.select(*columns).fillna(0, zeros), METRIC_RULES, ("date", "conversion_rate"))
+    sums = {**_BASE_SUMS, **_FULL_SUMS} if full else _BASE_SUMS
+    rest = _FULL_COLUMNS if full else _BASE_COLUMNS
+    daily = merged.groupBy("date").agg(*[F.expr(f"{sql} AS {name}") for name, sql in sums.items()])
+    shown = daily.filter("core = 1").selectExpr(*_COLUMNS, *rest)
+    return stop_on_failure(shown, METRIC_RULES, ("date", "conversion_rate"))

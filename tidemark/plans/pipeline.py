@@ -16,7 +16,7 @@ from tidemark.operators.rules import mark_failures
 from tidemark.plans.gold import BUSINESS_RULES, gold_accounts, gold_transaction_features, with_income_ratio
 from tidemark.plans.metrics import Bronze, bronze_facts, gold_daily_metrics
 from tidemark.plans.silver import checked, technical_rules
-from tidemark.session import STREAM_SETTINGS, settings
+from tidemark.session import STREAM_SALTS, STREAM_SETTINGS, settings
 from tidemark.sources.landing import bronze
 from tidemark.sources.tables import OUTCOME, TableStore, with_outcome
 from tidemark.streaming.sinks import BATCH, count_rules, per_batch
@@ -36,7 +36,7 @@ class Config:
     amount_cap: float = C.AMOUNT_TO_LIMIT_CAP
     delay: str = C.WATERMARK_DELAY      # must cover the disorder of the feed
     bound_days: int | None = None       # ends the state of the transaction join
-    salts: int = 1                      # tasks a hot account is spread over
+    salts: int = STREAM_SALTS           # tasks a hot account is spread over; fixed for a stream's life
     max_files: int | None = None        # per micro-batch
     lookback_days: int | None = None    # how long before its account an application may lie
     load_ts: str | None = None          # SQL for the ingest stamp, for repeatable runs

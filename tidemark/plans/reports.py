@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import contracts as C
-from tidemark.functions import at, elapsed_label, event_day, percent, ratio
+from tidemark.functions import at, elapsed_label, event_day, ratio
 from tidemark.functions.scalars import Moment
 
 

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property, wraps
+from functools import cached_property, reduce, wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql import types as T
 
 from tidemark import contracts as C
 from tidemark.operators.anomalies import app_anomalies_daily, txn_anomalies_daily, volume_outliers
@@ -15,7 +14,7 @@ from tidemark.operators.quality import quality_log, rejected_daily, union_logs,
 from tidemark.operators.rules import FAILED, apply_rules
 from tidemark.plans import gold, reports, silver
 from tidemark.plans.metrics import Bronze, bronze_facts, gold_daily_metrics
-from tidemark.session import STREAM_SETTINGS, scratch_dir, settings
+from tidemark.session import STREAM_SALTS, STREAM_SETTINGS, scratch_dir, settings
 from tidemark.sources import sample
 from tidemark.sources.landing import with_date
 from tidemark.streaming.sinks import latest, per_batch, read_batches
@@ -26,17 +25,20 @@ Query = Callable[[SparkSession, str], DataFrame]
 REPLAY_DELAY = f"{sample.REPLAY_DAYS} days"
 
 
-def comparable(df: DataFrame) -> DataFrame:
-    """Column types that every engine's client returns alike: text dates, rounded doubles."""
-    def shown(field: T.StructField):
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.DateType):
-            column = F.date_format(column, "yyyy-MM-dd")
-        elif isinstance(field.dataType, (T.DecimalType, T.DoubleType)):
-            column = F.round(column.cast("double"), 6)
-        return column.alias(field.name)
+def comparable(df: DataFrame, places: int | None = None) -> DataFrame:
+    """Column types that every engine's client returns alike: text dates, doubles.
 
-    return df.select(*[shown(f) for f in df.schema])
+    ``places`` rounds doubles: sums of doubles depend on the order of rows, so their last
+    digits differ from run to run.
+    """
+    def shown(name: str, kind: str) -> str:
+        if kind == "date":
+            return f"date_format(`{name}`, 'yyyy-MM-dd') AS `{name}`"
+        if kind == "double" or kind.startswith("decimal"):
+            return f"round(double(`{name}`), {places}) AS `{name}`" if places else f"double(`{name}`) AS `{name}`"
+        return f"`{name}`"
+
+    return df.selectExpr(*[shown(*column) for column in df.dtypes])
 
 
 class Views:
@@ -74,9 +76,7 @@ class Views:
 
     @cached_property
     def log(self) -> DataFrame:
-        raw = self.raw
-        inputs = (("visitor_events", raw.visits), ("applications", raw.applications), ("accounts", raw.accounts), ("transactions", raw.transactions))
-        logs = [quality_log(df, self.rules(e), f"silver_{e}", C.event_time(e)) for e, df in inputs]
+        logs = [quality_log(df, self.rules(e), f"silver_{e}", C.event_time(e)) for e, df in self.raw.items()]
         return union_logs([*logs, quality_log(self.apps, gold.BUSINESS_RULES, "gold_applications")])
 
     @cached_property
@@ -85,8 +85,7 @@ class Views:
 
     @cached_property
     def metrics(self) -> DataFrame:
-        raw = self.raw
-        bronze = Bronze(raw.visits, raw.applications, raw.accounts, raw.transactions)
+        bronze = Bronze(**dict(self.raw.items()))
         facts = bronze_facts(bronze, self.apps, {e: self.rules(e) for e in C.ENTITIES})
         return gold_daily_metrics(self.visits, self.gold_apps, self.gold_txns, facts)
 
@@ -98,28 +97,17 @@ def _rejected_applications(v: Views) -> DataFrame:
 
 def _rows_by_date(v: Views) -> DataFrame:
     """What the landing layout would hold per table and ``date=`` folder."""
-    raw = v.raw
-    inputs = (("visitor_events", raw.visits), ("applications", raw.applications), ("accounts", raw.accounts), ("transactions", raw.transactions))
-    dated = [with_date(df, C.event_time(e)).select(F.lit(e).alias("table"), "date") for e, df in inputs]
-    merged = dated[0].unionAll(dated[1]).unionAll(dated[2]).unionAll(dated[3])
-    return merged.groupBy("table", "date").agg(F.count(F.lit(1)).alias("rows"))
+    dated = [with_date(df, C.event_time(e)).select(F.lit(e).alias("table"), "date") for e, df in v.raw.items()]
+    return reduce(DataFrame.unionAll, dated).groupBy("table", "date").agg(F.count(F.lit(1)).alias("rows"))
 
 
-_BATCH: dict[str, Callable[[Views], DataFrame]] = {
-    # silver
+_ROWS: dict[str, Callable[[Views], DataFrame]] = {
     "silver_visitor_events": lambda v: silver.silver_visitor_events(v.raw.visits, sample.AS_OF),
     "silver_visitor_events_replay": lambda v: v.visits,
     "silver_applications": lambda v: v.apps,
     "silver_accounts": lambda v: v.accounts,
     "silver_transactions": lambda v: v.txns,
     "silver_transactions_all_columns": lambda v: silver.silver_transactions(v.raw.transactions, keep_all=True),
-    # rules
-    "rule_violations_by_rule": lambda v: violations_by_rule(v.log),
-    "quality_log": lambda v: v.log,
-    "rejected_daily": lambda v: rejected_daily(v.log),
-    "rejected_applications": _rejected_applications,
-    "landed_rows_by_date": _rows_by_date,
-    # gold
     "gold_applications": lambda v: v.gold_apps,
     "gold_accounts": lambda v: gold.gold_accounts(v.accounts, v.gold_apps),
     "gold_accounts_all_columns": lambda v: gold.gold_accounts(v.accounts, v.gold_apps, keep_all=True),
@@ -127,14 +115,21 @@ _BATCH: dict[str, Callable[[Views], DataFrame]] = {
     "gold_transaction_features_salted": lambda v: gold.gold_transaction_features(v.txns, v.accounts, salts=8),
     "gold_transaction_features_bounded": lambda v: gold.gold_transaction_features(v.txns, v.accounts, bound_days=5),
     "gold_transaction_features_strict_cap": lambda v: gold.gold_transaction_features(v.txns, v.accounts, cap=1.1, keep_all=True),
+    "rejected_applications": _rejected_applications,
+}
+
+_DAILY: dict[str, Callable[[Views], DataFrame]] = {
+    "rule_violations_by_rule": lambda v: violations_by_rule(v.log),
+    "quality_log": lambda v: v.log,
+    "rejected_daily": lambda v: rejected_daily(v.log),
+    "landed_counts": lambda v: v.raw.landed(),
+    "landed_rows_by_date": _rows_by_date,
     "daily_metrics_base": lambda v: v.metrics_base,
     "daily_metrics_full": lambda v: v.metrics,
-    # anomalies
     "app_anomalies_daily": lambda v: app_anomalies_daily(v.gold_apps),
     "txn_anomalies_daily": lambda v: txn_anomalies_daily(v.gold_txns),
     "orphans_by_edge": lambda v: orphans_by_edge(v.visits, v.apps, v.accounts, v.txns),
     "volume_outliers": lambda v: volume_outliers(v.metrics_base),
-    # reports
     "trust_score_today": lambda v: reports.trust_score_today(v.metrics, sample.AS_OF),
     "time_since_last_anomaly": lambda v: reports.time_since_last_anomaly(v.gold_apps, v.gold_txns, sample.AS_OF),
     "freshness_trend": lambda v: reports.freshness_trend(v.metrics),
@@ -179,7 +174,7 @@ def _stream_txn_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     txns = silver.silver_transactions(sample.transactions(sample.load_stream(spark, sf_dir, "lineitem")))
     accounts = silver.silver_accounts(sample.accounts(sample.load_stream(spark, sf_dir, "orders")))
-    return gold.gold_transaction_features(txns, accounts)
+    return gold.gold_transaction_features(txns, accounts, salts=STREAM_SALTS)
 
 
 def _stream_txn_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,10 +204,10 @@ _STREAM: dict[str, Query] = {
 }
 
 
-def _batch_query(build: Callable[[Views], DataFrame]) -> Query:
+def _batch_query(build: Callable[[Views], DataFrame], places: int | None = None) -> Query:
     @wraps(build)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return comparable(build(Views(spark, sf_dir)))
+        return comparable(build(Views(spark, sf_dir)), places)
 
     return run
 
@@ -227,5 +222,8 @@ def _stream_query(build: Query) -> Query:
 
 
 def queries() -> dict[str, Query]:
-    batch = {name: _batch_query(build) for name, build in _BATCH.items()}
-    return {**batch, **{name: _stream_query(build) for name, build in _STREAM.items()}}
+    return {
+        **{name: _batch_query(build) for name, build in _ROWS.items()},
+        **{name: _batch_query(build, 6) for name, build in _DAILY.items()},
+        **{name: _stream_query(build) for name, build in _STREAM.items()},
+    }

@@ -8,8 +8,12 @@ impossible limits, duplicate applications, closed limits and odd interest rates.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.sources.landing import landed_counts
+
 AS_OF = "2024-01-30 12:00:00"
 REPLAY_DAYS = 60                # a freshness bound before the first day: keeps all days
 
@@ -113,12 +117,39 @@ def transactions(lineitem: DataFrame) -> DataFrame:
 
 
 class Funnel:
-    """Bronze inputs of one sample folder."""
+    """Bronze inputs of one sample folder, each built when first asked for."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        orders = load(spark, sf_dir, "orders")
-        events = load(spark, sf_dir, "events")
-        self.visits = visits_from_events(events).unionByName(visits_from_orders(orders))
-        self.applications = applications(orders)
-        self.accounts = accounts(orders)
-        self.transactions = transactions(load(spark, sf_dir, "lineitem"))
+        self._spark, self._dir = spark, sf_dir
+
+    @cached_property
+    def _orders(self) -> DataFrame:
+        return load(self._spark, self._dir, "orders")
+
+    @cached_property
+    def visits(self) -> DataFrame:
+        return visits_from_events(load(self._spark, self._dir, "events")).unionByName(visits_from_orders(self._orders))
+
+    @cached_property
+    def applications(self) -> DataFrame:
+        return applications(self._orders)
+
+    @cached_property
+    def accounts(self) -> DataFrame:
+        return accounts(self._orders)
+
+    @cached_property
+    def transactions(self) -> DataFrame:
+        return transactions(load(self._spark, self._dir, "lineitem"))
+
+    def items(self) -> list[tuple[str, DataFrame]]:
+        return [
+            ("visitor_events", self.visits),
+            ("applications", self.applications),
+            ("accounts", self.accounts),
+            ("transactions", self.transactions),
+        ]
+
+    def landed(self) -> DataFrame:
+        """Row counts of the tables the inputs are made from."""
+        return landed_counts(self._spark, {t: f"{self._dir}/{t}.parquet" for t in ("events", "orders", "lineitem")})

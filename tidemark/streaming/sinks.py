@@ -54,7 +54,7 @@ def count_rules(df: DataFrame, rules: Sequence[Rule], name: str) -> DataFrame:
     """
     run, _ = split_applicable(df, rules)
     return df.observe(
-        name, F.count(F.lit(1)).alias("checked_rows"), *[F.count_if(~r.passes).alias(r.name) for r in run]
+        name, F.count(F.lit(1)).alias("checked_rows"), *[F.expr(f"count_if(NOT {r.sql}) AS {r.name}") for r in run]
     )
 
 
