@@ -179,3 +179,19 @@ def test_scratch_is_below_the_shared_folder(spark):
     with settings(spark, {"spark.sql.shuffle.partitions": "3"}):
         assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
     assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+
+
+def test_a_failed_batch_run_again_leaves_no_doubles(spark, tmp_path):
+    schema = _stage(spark, tmp_path, "apps", "0", {"app_id": "1"}, {"app_id": "2"})
+    broken = [True]
+
+    def step(batch):
+        if broken.pop() if broken else False:
+            batch.write.mode("overwrite").parquet(f"{tmp_path}/out/batch_id=0")
+            raise RuntimeError("lost after writing")
+        return batch
+
+    with pytest.raises(Exception, match="lost after writing"):
+        per_batch(_source(spark, tmp_path, "apps", schema), f"{tmp_path}/out", f"{tmp_path}/c", step).awaitTermination()
+    per_batch(_source(spark, tmp_path, "apps", schema), f"{tmp_path}/out", f"{tmp_path}/c", step).awaitTermination()
+    assert rows(read_batches(spark, f"{tmp_path}/out"), "app_id") == [("1",), ("2",)]

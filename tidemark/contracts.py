@@ -28,6 +28,35 @@ FRESH_HOURS = 1                 # lag with a full freshness score
 STALE_HOURS = 6                 # lag with a zero freshness score
 DAILY_TXN_TARGET = 10000        # transactions a day for a full completeness score
 
+AGE_BANDS = (
+    (18, 25, "1. Youth (18-25)"),
+    (26, 35, "2. Young Adult (26-35)"),
+    (36, 55, "3. Adult (36-55)"),
+)
+LAST_AGE_BAND = "4. Senior (56+)"
+MINOR_AGE_BAND = "0. Under 18"  # only in the strict form
+NO_AGE_BAND = "Unknown"
+
+# Parts of the score of one day, and of the daily trend.
+TODAY_WEIGHTS = {"checks": 0.4, "freshness": 0.3, "risk": 0.3}
+TREND_WEIGHTS = {"validity": 0.4, "quality": 0.3, "freshness": 0.2, "completeness": 0.1}
+RISK_PER_ANOMALY = 0.5
+
+# Headings of report columns.
+DAY_LABEL = "date_label"
+DAY_HEADING = "Time (Daily)"
+TODAY_SCORE = "overall_data_trust_score_composite_pct"
+NULL_RATE = "Null_Rate"
+VISITOR_RATE = "Visitor_to_App_Rate"
+APPROVAL_RATE = "App_to_Approval_Rate"
+AGE_HEADING = "Applicant Age Group"
+SHARE_HEADING = "Percent of Total (%)"
+VISITS_HEADING = "Actual Visitor Count"
+MARKER_HEADING = "ML_Anomaly_Marker"
+TXN_ANOMALY_HEADING = "Daily Transaction Anomaly Count"
+VIOLATION_DAY = "Violation_Date"
+DUPLICATES = "Total_Duplicate_Records_Count"
+
 # --- Input contracts -----------------------------------------------------------------
 
 _EVENT_TIME = {"accounts": "account_open_timestamp"}

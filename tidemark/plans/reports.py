@@ -43,11 +43,12 @@ def trust_score_today(metrics: DataFrame, as_of: Moment, risk_floor: float | Non
         .when(lag > C.STALE_HOURS, 0.0)
         .otherwise(100 - (lag - C.FRESH_HOURS) * slope)
     )
-    risk = F.least(100 - F.col("ml_anomalies_count") * 0.5, F.lit(100.0))
+    risk = F.least(100 - F.col("ml_anomalies_count") * C.RISK_PER_ANOMALY, F.lit(100.0))
     if risk_floor is not None:
         risk = F.greatest(risk, F.lit(float(risk_floor)))
-    score = (100 - failed) * 0.4 + fresh * 0.3 + risk * 0.3
-    return day.select(_label().alias("date_label"), score.alias("overall_data_trust_score_composite_pct"))
+    weight = C.TODAY_WEIGHTS
+    score = (100 - failed) * weight["checks"] + fresh * weight["freshness"] + risk * weight["risk"]
+    return day.select(_label().alias(C.DAY_LABEL), score.alias(C.TODAY_SCORE))
 
 
 def time_since_last_anomaly(
@@ -79,7 +80,7 @@ def time_since_last_anomaly(
 
 
 def freshness_trend(metrics: DataFrame) -> DataFrame:
-    return _newest_first(metrics).select(_label().alias("date_label"), "avg_freshness_lag_hours")
+    return _newest_first(metrics).select(_label().alias(C.DAY_LABEL), "avg_freshness_lag_hours")
 
 
 def trust_score_trend(metrics: DataFrame) -> DataFrame:
@@ -99,11 +100,12 @@ def trust_score_trend(metrics: DataFrame) -> DataFrame:
         ).alias("completeness_score_pct"),
         "schema_compliance_pct",
     )
+    weight = C.TREND_WEIGHTS
     score = (
-        F.col("schema_compliance_pct") * 0.4
-        + F.col("quality_score_pct").cast("double") * 0.3
-        + F.col("freshness_score_pct").cast("double") * 0.2
-        + F.col("completeness_score_pct").cast("double") * 0.1
+        F.col("schema_compliance_pct") * weight["validity"]
+        + F.col("quality_score_pct").cast("double") * weight["quality"]
+        + F.col("freshness_score_pct").cast("double") * weight["freshness"]
+        + F.col("completeness_score_pct").cast("double") * weight["completeness"]
     )
     return _newest_first(
         parts.withColumn("final_data_trust_score", _two_places(score)).drop("schema_compliance_pct")
@@ -111,28 +113,25 @@ def trust_score_trend(metrics: DataFrame) -> DataFrame:
 
 
 def null_rate_trend(metrics: DataFrame) -> DataFrame:
-    return _newest_first(metrics).select(_label().alias("date_label"), F.col("campaign_id_null_pct").alias("Null_Rate"))
+    return _newest_first(metrics).select(_label().alias(C.DAY_LABEL), F.col("campaign_id_null_pct").alias(C.NULL_RATE))
 
 
 def conversion_trend(metrics: DataFrame) -> DataFrame:
     return metrics.orderBy("date").select(
-        _label().alias("date_label"),
-        (F.col("conversion_rate") * 100).alias("Visitor_to_App_Rate"),
-        (F.col("approval_rate") * 100).alias("App_to_Approval_Rate"),
+        _label().alias(C.DAY_LABEL),
+        (F.col("conversion_rate") * 100).alias(C.VISITOR_RATE),
+        (F.col("approval_rate") * 100).alias(C.APPROVAL_RATE),
     )
 
 
 def age_group(age: Column, strict: bool = False) -> Column:
     """Age band labels. Ages below 18 fall into the last band unless ``strict``."""
-    band = F.when(age.isNull(), "Unknown")
+    band = F.when(age.isNull(), C.NO_AGE_BAND)
     if strict:
-        band = band.when(age < C.ADULT_AGE, "0. Under 18")
-    return (
-        band.when(age.between(18, 25), "1. Youth (18-25)")
-        .when(age.between(26, 35), "2. Young Adult (26-35)")
-        .when(age.between(36, 55), "3. Adult (36-55)")
-        .otherwise("4. Senior (56+)")
-    )
+        band = band.when(age < C.ADULT_AGE, C.MINOR_AGE_BAND)
+    for low, high, name in C.AGE_BANDS:
+        band = band.when(age.between(low, high), name)
+    return band.otherwise(C.LAST_AGE_BAND)
 
 
 def age_mix_trend(silver_apps: DataFrame, metrics: DataFrame, strict: bool = False, denominator: str = "gold") -> DataFrame:
@@ -154,24 +153,24 @@ def age_mix_trend(silver_apps: DataFrame, metrics: DataFrame, strict: bool = Fal
         .select("date", "age_group", share.alias("share"))
         .orderBy(F.desc("date"), F.desc("share"))
         .select(
-            _label().alias("Time (Daily)"),
-            F.col("age_group").alias("Applicant Age Group"),
-            F.col("share").alias("Percent of Total (%)"),
+            _label().alias(C.DAY_HEADING),
+            F.col("age_group").alias(C.AGE_HEADING),
+            F.col("share").alias(C.SHARE_HEADING),
         )
     )
 
 
 def visits_with_anomaly_marker(metrics: DataFrame) -> DataFrame:
     return metrics.orderBy("date").select(
-        _label().alias("date_label"),
-        F.col("total_visits").alias("Actual Visitor Count"),
-        F.when(F.col("ml_anomalies_count") > 0, F.col("total_visits")).alias("ML_Anomaly_Marker"),
+        _label().alias(C.DAY_LABEL),
+        F.col("total_visits").alias(C.VISITS_HEADING),
+        F.when(F.col("ml_anomalies_count") > 0, F.col("total_visits")).alias(C.MARKER_HEADING),
     )
 
 
 def txn_anomaly_trend(txn_anomalies: DataFrame) -> DataFrame:
     return _newest_first(txn_anomalies).select(
-        _label().alias("Time (Daily)"), F.col("txn_anomalies_count").alias("Daily Transaction Anomaly Count")
+        _label().alias(C.DAY_HEADING), F.col("txn_anomalies_count").alias(C.TXN_ANOMALY_HEADING)
     )
 
 
@@ -184,7 +183,7 @@ def lineage_completeness(bronze_apps: DataFrame, bronze_visits: DataFrame, bronz
     raw = reduce(DataFrame.unionAll, days).groupBy("date").agg(F.count(F.lit(1)).alias("total_bronze_input"))
     out = F.col("applications_count") + F.col("total_visits") + F.col("total_transactions")
     return _newest_first(metrics.select("date", out.alias("total_gold_output")).join(raw, "date")).select(
-        _label().alias("date_label"),
+        _label().alias(C.DAY_LABEL),
         "total_bronze_input",
         "total_gold_output",
         (F.col("total_bronze_input") - F.col("total_gold_output")).alias("total_records_dropped"),
@@ -201,6 +200,6 @@ def duplicate_app_ids(silver_apps: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("app_id_count")
     )
     surplus = per_id.filter("app_id_count > 1").groupBy("date").agg(
-        F.sum(F.col("app_id_count") - 1).alias("Total_Duplicate_Records_Count")
+        F.sum(F.col("app_id_count") - 1).alias(C.DUPLICATES)
     )
-    return _newest_first(surplus).select(_label().alias("Violation_Date"), "Total_Duplicate_Records_Count")
+    return _newest_first(surplus).select(_label().alias(C.VIOLATION_DAY), C.DUPLICATES)

@@ -31,11 +31,26 @@ STREAM_SETTINGS = {
 STREAM_SALTS = 4
 
 
-def build_session(app: str = "tidemark", master: str | None = None, **extra: str) -> SparkSession:
+def shuffle_settings(input_bytes: int, target_bytes: int = 128 << 20) -> dict[str, str]:
+    """Enough initial shuffle partitions that ``input_bytes`` fit executor memory.
+
+    AQE merges partitions that turn out small but never splits the initial number, and
+    200 partitions of a 100 TB join would spill for hours. Streams do not take part: the
+    partitions of their state are ``spark.sql.shuffle.partitions`` of their first run.
+    """
+    partitions = min(max(input_bytes // target_bytes, 200), 200_000)
+    return {
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes),
+    }
+
+
+def build_session(app: str = "tidemark", master: str | None = None, input_bytes: int | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    sized = shuffle_settings(input_bytes) if input_bytes else {}
+    for key, value in {**SETTINGS, **sized, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
