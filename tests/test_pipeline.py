@@ -74,3 +74,32 @@ def test_stream_in_two_runs_equals_batch(spark, landing, tmp_path):
     batch.refresh_metrics(since="2024-01-20")
     assert rows(batch.table("gold_daily_metrics"), "date", "total_visits", "detected_tdq_bdq_anomalies_count") == before
     assert reports.trust_score_today(batch.table("gold_daily_metrics"), sample.AS_OF).count() == 1
+    _sql_users_find_their_tables(spark, batch)
+
+
+def _sql_users_find_their_tables(spark, batch):
+    """SQL over the registered views gives what the report functions give."""
+    batch.register_views()
+    metrics, apps = batch.table("gold_daily_metrics"), batch.table("silver_applications")
+    conversion = spark.sql(
+        "SELECT date_format(date, 'yyyy-MM-dd') AS d, conversion_rate * 100, approval_rate * 100 FROM gold_daily_metrics ORDER BY date")
+    assert [tuple(r) for r in conversion.collect()] == [tuple(r) for r in reports.conversion_trend(metrics).collect()]
+    lineage = spark.sql(
+        """WITH landed AS (
+               SELECT to_date(timestamp) AS date FROM bronze_applications UNION ALL
+               SELECT to_date(timestamp) FROM bronze_visitor_events UNION ALL
+               SELECT to_date(timestamp) FROM bronze_transactions)
+           SELECT string(date), n, out, n - out FROM (SELECT date, count(*) AS n FROM landed GROUP BY date)
+           JOIN (SELECT date, applications_count + total_visits + total_transactions AS out FROM gold_daily_metrics) USING (date)""")
+    raw = [batch.table(f"bronze_{e}") for e in ("applications", "visitor_events", "transactions")]
+    assert rows(lineage) == rows(reports.lineage_completeness(*raw, metrics))
+    twice = spark.sql("SELECT string(date), sum(n - 1) FROM (SELECT date, app_id, count(*) AS n FROM silver_applications_clean "
+                      "GROUP BY date, app_id) WHERE n > 1 GROUP BY date")
+    assert rows(twice) == rows(reports.duplicate_app_ids(apps))
+    for view in C.VIEWS:
+        assert spark.table(view).columns
+    spark.sql("DROP TABLE IF EXISTS default.gold_app_ml_anomaly_agg")
+    batch.publish("gold_app_ml_anomaly_agg")
+    shown = {r[0]: r[1] for r in spark.sql("DESCRIBE TABLE EXTENDED default.gold_app_ml_anomaly_agg").collect()}
+    assert "quality=gold" in shown["Table Properties"] and shown["Comment"]
+    spark.sql("DROP TABLE default.gold_app_ml_anomaly_agg")

@@ -57,6 +57,25 @@ TXN_ANOMALY_HEADING = "Daily Transaction Anomaly Count"
 VIOLATION_DAY = "Violation_Date"
 DUPLICATES = "Total_Duplicate_Records_Count"
 
+# SQL names of the pipeline's tables, with their quality tier and a remark.
+VIEWS = {
+    "bronze_visitor_events": ("bronze_visitor_events", "bronze", "Visits as landed."),
+    "bronze_applications": ("bronze_applications", "bronze", "Applications as landed."),
+    "bronze_accounts": ("bronze_accounts", "bronze", "Accounts as landed."),
+    "bronze_transactions": ("bronze_transactions", "bronze", "Transactions as landed."),
+    "silver_visitor_events_clean": ("silver_visitor_events", "silver", "Visits that pass the technical rules."),
+    "silver_applications_clean": ("silver_applications", "silver", "Applications that pass the technical rules."),
+    "silver_accounts_clean": ("silver_accounts", "silver", "Accounts that pass the technical rules."),
+    "silver_transactions_clean": ("silver_transactions", "silver", "Transactions that pass the technical rules."),
+    "gold_applications_validated": ("gold_applications", "gold", "Applications that pass the business rules, with features."),
+    "gold_accounts_validated": ("gold_accounts", "gold", "Accounts of approved, validated applications."),
+    "gold_transaction_features": ("gold_transaction_features", "gold", "Transactions within the limit of their account."),
+    "gold_daily_metrics": ("gold_daily_metrics", "gold", "Key figures per day."),
+    "gold_app_ml_anomaly_agg": ("gold_app_ml_anomaly_agg", "gold", "Flagged applications per day."),
+    "gold_txn_ml_anomaly_agg": ("gold_txn_ml_anomaly_agg", "gold", "Flagged transactions per day."),
+    "quality_log": ("quality_log", "gold", "Rows checked and failed per day, table and rule."),
+}
+
 # --- Input contracts -----------------------------------------------------------------
 
 _EVENT_TIME = {"accounts": "account_open_timestamp"}

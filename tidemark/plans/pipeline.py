@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,7 +19,7 @@ from tidemark.plans.metrics import Bronze, bronze_facts, gold_daily_metrics
 from tidemark.plans.silver import checked, technical_rules
 from tidemark.session import STREAM_SALTS, STREAM_SETTINGS, settings
 from tidemark.sources.landing import bronze
-from tidemark.sources.tables import OUTCOME, TableStore, with_outcome
+from tidemark.sources.tables import OUTCOME, TableStore, materialize, with_outcome
 from tidemark.streaming.sinks import BATCH, count_rules, per_batch
 
 
@@ -28,7 +29,7 @@ class Config:
 
     landing: str
     root: str
-    as_of: str
+    as_of: str | None = None            # now, where not given
     freshness_days: int = C.FRESHNESS_DAYS
     freshness_hours: float | None = None
     app_threshold: float = C.APP_ANOMALY_RATIO
@@ -50,11 +51,12 @@ class Pipeline:
 
     def __post_init__(self):
         self.store = TableStore(self.spark, self.config.root)
+        self.as_of = self.config.as_of or datetime.now(timezone.utc).replace(tzinfo=None)
 
     # --- shared pieces ---
 
     def _rules(self, entity: str):
-        return technical_rules(entity, self.config.as_of, self.config.freshness_days, self.config.freshness_hours)
+        return technical_rules(entity, self.as_of, self.config.freshness_days, self.config.freshness_hours)
 
     def _bronze(self, entity: str, streaming: bool) -> DataFrame:
         stamp = None if self.config.load_ts is None else F.expr(
@@ -88,6 +90,16 @@ class Pipeline:
         """Refused rows of a silver table or of gold_applications, with the rules they broke."""
         return self.store.rejected(self.store.read(name))
 
+    def register_views(self) -> None:
+        """Accepted rows of every table as temporary views under their SQL names."""
+        for view, (name, _, _) in C.VIEWS.items():
+            self.table(name).createOrReplaceTempView(view)
+
+    def publish(self, view: str, database: str = "default") -> None:
+        """Save a table under its SQL name to the catalog, with remark and quality tier."""
+        name, tier, remark = C.VIEWS[view]
+        materialize(self.table(name), f"{database}.{view}", remark, {"quality": tier})
+
     # --- runs ---
 
     def run_batch(self) -> None:
