@@ -45,15 +45,19 @@ def test_stream_in_two_runs_equals_batch(spark, landing, tmp_path):
     stream.run_stream()
     first = stream.table("gold_daily_metrics").agg(F.max("date")).first()[0]
     assert first.isoformat() == "2024-01-14"
+    assert stream.stale_days() == []
     for entity, df in _entities(spark, small).items():
         moment = C.event_time(entity)
         land(df.filter(f"{moment} >= '2024-01-15'"), f"{folder}/{entity}", "20240115_live", moment)
     stream = Pipeline(spark, _config(folder, tmp_path / "stream", salts=3, lookback_days=1))
     stream.run_stream()
+    assert stream.stale_days() == []
     counted = observed_totals(stream.queries["silver_accounts"], "silver_accounts")
 
     batch = Pipeline(spark, _config(folder, tmp_path / "batch", salts=2))
+    assert batch.stale_days() is None
     batch.run_batch()
+    assert batch.stale_days() == []
     for name in TABLES:
         columns = sorted(batch.table(name).columns)
         left, right = batch.table(name).select(*columns), stream.table(name).select(*columns)
@@ -75,6 +79,23 @@ def test_stream_in_two_runs_equals_batch(spark, landing, tmp_path):
     assert rows(batch.table("gold_daily_metrics"), "date", "total_visits", "detected_tdq_bdq_anomalies_count") == before
     assert reports.trust_score_today(batch.table("gold_daily_metrics"), sample.AS_OF).count() == 1
     _sql_users_find_their_tables(spark, batch)
+    _one_more_row_makes_one_day_stale(batch, tmp_path / "batch/tables")
+
+
+def _one_more_row_makes_one_day_stale(batch, tables):
+    def files():
+        return {p for p in (tables / "gold_daily_metrics").glob("date=*/*.parquet")}
+
+    path = str(tables / "silver_visitor_events")
+    batch.spark.read.parquet(path).filter("date = '2024-01-08' AND outcome = 'clean'").limit(1).write.mode("append").partitionBy(
+        "outcome", "date").parquet(path)
+    before, visits = files(), dict(rows(batch.table("gold_daily_metrics"), "date", "total_visits"))
+    stale = batch.stale_days()
+    assert [d.isoformat() for d in stale] == ["2024-01-08"]
+    batch.refresh_metrics(only=stale)
+    assert {p.parent.name for p in before ^ files()} == {"date=2024-01-08"}
+    after = dict(rows(batch.table("gold_daily_metrics"), "date", "total_visits"))
+    assert after == {**visits, stale[0]: visits[stale[0]] + 1} and batch.stale_days() == []
 
 
 def _sql_users_find_their_tables(spark, batch):

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -120,7 +121,7 @@ class Pipeline:
         self.refresh_metrics()
 
     def run_stream(self) -> None:
-        """Take in what has landed since the last run, table by table, then refresh the metrics.
+        """Take in what has landed since the last run, table by table, then refresh the days it changed.
 
         Each table is a query with a checkpoint of its own and ends when its input is used
         up, so an upstream table is complete before the next one reads it.
@@ -152,7 +153,7 @@ class Pipeline:
             )
             self._stream("gold_app_ml_anomaly_agg", self._app_anomalies(apps))
             self._stream("gold_txn_ml_anomaly_agg", self._txn_anomalies(txn))
-        self.refresh_metrics()
+        self.refresh_metrics(only=self.stale_days())
 
     def _accounts_of_batch(self, batch: DataFrame) -> DataFrame:
         """Join a micro-batch of accounts to the applications validated so far.
@@ -181,22 +182,59 @@ class Pipeline:
         self.queries[name] = query
         query.awaitTermination()
 
-    def refresh_metrics(self, since: str | None = None) -> None:
-        """Recompute quality log and daily metrics, all days or those from ``since`` on.
+    def stale_days(self) -> list[date | None] | None:
+        """Event days with rows that log and metrics have not seen; None where neither exists yet.
+
+        Tables only grow, so a day is stale when its row counts differ from those recorded
+        at the last refresh, whatever became of the runs in between. Counting by partition
+        reads parquet footers only. At most one value per day comes back.
+        """
+        if not (self.store.exists("quality_log") and self.store.exists("gold_daily_metrics")):
+            return None
+
+        def counted(table: str) -> DataFrame:
+            return self.store.read(table).groupBy("date").agg(F.count(F.lit(1)).alias("rows")).selectExpr(
+                "date", f"'{table}' AS table_name", "rows"
+            )
+
+        features = "gold_transaction_features"
+        now = reduce(DataFrame.unionAll, [counted(f"silver_{e}") for e in C.ENTITIES])
+        now = now.unionAll(counted(features).filter("date IS NOT NULL"))
+        log = self.store.read("quality_log").filter("status = 'checked' AND table_name <> 'gold_applications'")
+        seen = log.groupBy("date", "table_name").agg(F.max("checked_rows").alias("rows")).unionAll(
+            self.store.read("gold_daily_metrics").filter("total_transactions > 0").selectExpr(
+                "date", f"'{features}' AS table_name", "total_transactions AS rows"
+            )
+        )
+        both = now.withColumn("now", F.col("rows")).unionByName(
+            seen.withColumn("seen", F.col("rows")), allowMissingColumns=True
+        )
+        changed = both.groupBy("date", "table_name").agg(F.max("now").alias("now"), F.max("seen").alias("seen"))
+        return [r[0] for r in changed.filter("NOT now <=> seen").select("date").distinct().collect()]
+
+    def refresh_metrics(self, since: str | None = None, only: list[date | None] | None = None) -> None:
+        """Recompute quality log and daily metrics: all days, those from ``since`` on, or ``only`` some.
 
         Both read the marks the checked tables carry, so no rule runs a second time and few
-        columns are scanned. Tables are laid out by event day: ``since`` prunes every scan
-        to those days and replaces only their partitions.
+        columns are scanned. Tables are laid out by event day: a choice of days prunes every
+        scan to them and replaces only their partitions. Undated rows are always included.
         """
+        if only is not None and not only:
+            return
+        undated = F.col("date").isNull()
+
         def days(df: DataFrame) -> DataFrame:
-            kept = df if since is None else df.filter(F.col("date") >= F.lit(since).cast("date"))
-            return kept.drop("date")
+            if since is not None:
+                df = df.filter((F.col("date") >= F.lit(since).cast("date")) | undated)
+            if only is not None:
+                df = df.filter(F.col("date").isin([d for d in only if d is not None]) | undated)
+            return df.drop("date")
 
         marked = Bronze(*(days(self.store.read(f"silver_{e}")) for e in C.ENTITIES))
         business = days(self.store.read("gold_applications"))
         logs = [quality_log(getattr(marked, e), self._rules(e), f"silver_{e}", C.event_time(e)) for e in C.ENTITIES]
         logs.append(quality_log(business, BUSINESS_RULES, "gold_applications"))
-        refresh = since is not None
+        refresh = since is not None or only is not None
         self.store.write(union_logs(logs), "quality_log", ("date",), refresh, balance=True)
         metrics = gold_daily_metrics(
             days(self.table("silver_visitor_events")),

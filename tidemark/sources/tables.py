@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -67,6 +68,13 @@ class TableStore:
 
     # --- reading ---
 
+    def exists(self, name: str) -> bool:
+        try:
+            self.read(name)
+        except AnalysisException:
+            return False
+        return True
+
     def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
         reader = self.spark.read.schema(schema) if schema else self.spark.read
         return reader.parquet(self.path(name))
