@@ -18,7 +18,7 @@ from tidemark.operators.rules import mark_failures
 from tidemark.plans.gold import BUSINESS_RULES, gold_accounts, gold_transaction_features, with_income_ratio
 from tidemark.plans.metrics import Bronze, bronze_facts, gold_daily_metrics
 from tidemark.plans.silver import checked, technical_rules
-from tidemark.session import STREAM_SALTS, STREAM_SETTINGS, settings
+from tidemark.session import STREAM_SALTS, settings, stream_settings
 from tidemark.sources.landing import bronze
 from tidemark.sources.tables import OUTCOME, TableStore, materialize, with_outcome
 from tidemark.streaming.sinks import BATCH, count_rules, per_batch
@@ -126,7 +126,7 @@ class Pipeline:
         Each table is a query with a checkpoint of its own and ends when its input is used
         up, so an upstream table is complete before the next one reads it.
         """
-        with settings(self.spark, STREAM_SETTINGS):
+        with settings(self.spark, stream_settings(self.spark)):
             silver = {}
             for entity in C.ENTITIES:
                 raw = self._stream(f"bronze_{entity}", self._bronze(entity, True), ("date",))
@@ -235,7 +235,6 @@ class Pipeline:
         logs = [quality_log(getattr(marked, e), self._rules(e), f"silver_{e}", C.event_time(e)) for e in C.ENTITIES]
         logs.append(quality_log(business, BUSINESS_RULES, "gold_applications"))
         refresh = since is not None or only is not None
-        self.store.write(union_logs(logs), "quality_log", ("date",), refresh, balance=True)
         metrics = gold_daily_metrics(
             days(self.table("silver_visitor_events")),
             days(self.table("gold_applications")),
@@ -243,3 +242,5 @@ class Pipeline:
             bronze_facts(marked, business, {e: self._rules(e) for e in C.ENTITIES}),
         )
         self.store.write(metrics, "gold_daily_metrics", ("date",), refresh, balance=True)
+        # the log comes last: a stop in between, as by a fail rule, leaves the days stale
+        self.store.write(union_logs(logs), "quality_log", ("date",), refresh, balance=True)

@@ -14,7 +14,7 @@ from tidemark.operators.quality import quality_log, rejected_daily, union_logs,
 from tidemark.operators.rules import FAILED, apply_rules
 from tidemark.plans import gold, reports, silver
 from tidemark.plans.metrics import Bronze, bronze_facts, gold_daily_metrics
-from tidemark.session import STREAM_SALTS, STREAM_SETTINGS, scratch_dir, settings
+from tidemark.session import STREAM_SALTS, scratch_dir, settings, stream_settings
 from tidemark.sources import sample
 from tidemark.sources.landing import with_date
 from tidemark.streaming.sinks import latest, per_batch, read_batches
@@ -215,7 +215,7 @@ def _batch_query(build: Callable[[Views], DataFrame], places: int | None = None)
 def _stream_query(build: Query) -> Query:
     @wraps(build)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        with settings(spark, STREAM_SETTINGS):
+        with settings(spark, stream_settings(spark)):
             return comparable(build(spark, sf_dir))
 
     return run

@@ -31,6 +31,19 @@ STREAM_SETTINGS = {
 STREAM_SALTS = 4
 
 
+def stream_settings(spark: SparkSession) -> dict[str, str]:
+    """``STREAM_SETTINGS``, and on a single machine no more state partitions than cores.
+
+    Each partition opens stores of its own, and their number is fixed by the first run. On
+    a cluster ``spark.sql.shuffle.partitions`` is left as the user sized it.
+    """
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        return STREAM_SETTINGS
+    partitions = min(int(spark.conf.get("spark.sql.shuffle.partitions")), context.defaultParallelism)
+    return {**STREAM_SETTINGS, "spark.sql.shuffle.partitions": str(partitions)}
+
+
 def shuffle_settings(input_bytes: int, target_bytes: int = 128 << 20) -> dict[str, str]:
     """Enough initial shuffle partitions that ``input_bytes`` fit executor memory.
 
