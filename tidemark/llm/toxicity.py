@@ -38,8 +38,9 @@ LANDMARKS = 160
 # A landmark stands in at least so many toxic documents of the training rows, and in clean
 # ones at most a tenth as often, relative to their numbers.
 LEAST_TOXIC = 3
-SPAN, DECAY = 3, 0.6
+SPAN, DECAY = 2, 0.6
 WORD, OVERLAP = 24, 12
+SHORT = 10
 # Kernel values below this count as none: unrelated words of one language reach it by chance.
 FLOOR = 0.35
 CACHED_WORDS = 300_000
@@ -56,34 +57,36 @@ _GAPS = [(a, b) for a in range(1, SPAN + 1) for b in range(1, SPAN + 1)]
 def words_of(text: str | None) -> set[str]:
     """Distinct words of a text, and its joined runs of single characters."""
     lowered = (text or "").lower()
-    found = set(lowered.split())
+    found = {w.rstrip(",.;:") for w in set(lowered.split())}
     for run in _SINGLES.findall(lowered):
         found.add("".join(run.split()))
     return found
 
 
 def parts_of(word: str) -> list[str]:
-    plain = word.strip(_EDGES).translate(SWAPS)
+    plain = word if word.isalpha() else word.strip(_EDGES).translate(SWAPS)
     if len(plain) <= WORD:
         return [plain] if len(plain) > 2 else []
     return [plain[i:i + WORD] for i in range(0, len(plain) - OVERLAP, WORD - OVERLAP)]
 
 
-def characters(parts: list[str]) -> np.ndarray:
+def characters(parts: list[str], width: int = WORD) -> np.ndarray:
     """One row per part: letters as 1 to 26, other characters spread over 27 to 62, 0 beyond the end."""
-    raw = np.frombuffer("".join(p.ljust(WORD, "\0") for p in parts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    raw = np.frombuffer("".join(p.ljust(width, "\0") for p in parts).encode("utf-32-le", "surrogatepass"), np.uint32)
     letters = (raw >= 97) & (raw <= 122)
-    return np.where(letters, raw - 96, np.where(raw == 0, 0, 27 + raw % 36)).astype(np.int32).reshape(len(parts), WORD)
+    return np.where(letters, raw - 96, np.where(raw == 0, 0, 27 + raw % 36)).astype(np.int32).reshape(len(parts), width)
 
 
 def subsequences(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(codes, weights) of all subsequences of each row; code 0 where there is none."""
+    n = chars.shape[1]
     wide = np.pad(chars, ((0, 0), (0, 2 * SPAN)))
+    high, middle = chars * 4096, wide * 64
     codes, weights = [], []
     for a, b in _GAPS:
-        first, second, third = wide[:, :WORD], wide[:, a:a + WORD], wide[:, a + b:a + b + WORD]
-        codes.append(np.where(third > 0, (first * 64 + second) * 64 + third, 0))
-        weights.append(np.full(WORD, DECAY ** (a + b + 1), np.float32))
+        third = wide[:, a + b:a + b + n]
+        codes.append((high + middle[:, a:a + n] + third) * (third > 0))
+        weights.append(np.full(n, DECAY ** (a + b + 1), np.float32))
     return np.concatenate(codes, axis=1), np.concatenate(weights)
 
 
@@ -112,25 +115,35 @@ class Landmarks:
             for c, value in v.items():
                 self.matrix[self.row[c], j] = value
 
+        self.most = np.zeros(64 ** 3, np.float32)
+        self.most[codes] = self.matrix[1:].max(axis=1) if codes else 0
+
     def kernel(self, chars: np.ndarray) -> np.ndarray:
-        """Kernel of each row with each landmark; values below the floor are 0."""
+        """Kernel of each row with each landmark; values below the floor are 0.
+
+        Rows are dropped by upper bounds first: by the largest weight any landmark gives
+        each subsequence, then by a norm that leaves out repeated subsequences.
+        """
         codes, weights = subsequences(chars)
-        rows = self.row[codes]
         out = np.zeros((len(chars), len(self.words)), np.float32)
-        # The norm without repeated subsequences is a lower bound of the true one.
-        bound = np.sqrt(((codes > 0) * weights ** 2).sum(axis=1))
-        near = np.flatnonzero(((rows > 0) * weights ** 2).sum(axis=1) >= (FLOOR * bound) ** 2 * 0.5)
+        least = np.sqrt((codes > 0) @ (weights ** 2))
+        near = np.flatnonzero(self.most[codes] @ weights >= FLOOR * least)
         for start in range(0, len(near), 2000):
             at = near[start:start + 2000]
-            word, place = np.nonzero(rows[at])
-            found = np.zeros((len(at), len(self.words)), np.float32)
-            if len(word):
-                cuts = np.flatnonzero(np.diff(word, prepend=-1))
-                hit = self.matrix[rows[at][word, place]] * weights[place][:, None]
-                found[word[cuts]] = np.add.reduceat(hit, cuts, axis=0)
-            norms = self._norms(codes[at], weights)
-            found /= np.maximum(norms, 1e-9)[:, None]
-            out[at] = np.where(found >= FLOOR, found, 0)
+            at = at[least[at] > 0]
+            rows = self.row[codes[at]]
+            word, place = np.nonzero(rows)
+            if not len(word):
+                continue
+            cuts = np.flatnonzero(np.diff(word, prepend=-1))
+            hit = self.matrix[rows[word, place]] * weights[place][:, None]
+            found = np.add.reduceat(hit, cuts, axis=0)
+            at = at[word[cuts]]
+            close = (found >= FLOOR * least[at][:, None]).any(axis=1)
+            at, found = at[close], found[close]
+            if len(at):
+                found /= self._norms(codes[at], weights)[:, None]
+                out[at] = np.where(found >= FLOOR, found, 0)
         return out
 
     @staticmethod
@@ -172,20 +185,28 @@ class Reader:
     def _learn(self, words: list[str]) -> None:
         parts, owners = [], []
         for i, word in enumerate(words):
+            if word.isalpha() and len(word) <= WORD:
+                if len(word) > 2:
+                    parts.append(word)
+                    owners.append(i)
+                continue
             for part in parts_of(word):
                 parts.append(part)
                 owners.append(i)
         self.known.update(dict.fromkeys(words, 0))
         if not parts:
             return
-        values = self.landmarks.kernel(characters(parts))
-        for i in np.flatnonzero(values.any(axis=1)):
-            word = words[owners[i]]
-            if self.known[word]:
-                self.rows[self.known[word]] = np.maximum(self.rows[self.known[word]], values[i])
-            else:
-                self.known[word] = len(self.rows)
-                self.rows.append(values[i])
+        lengths = np.array([len(p) for p in parts])
+        for least, width in ((0, SHORT), (SHORT, WORD)):
+            chosen = np.flatnonzero((lengths > least) & (lengths <= width))
+            values = self.landmarks.kernel(characters([parts[i] for i in chosen], width)) if len(chosen) else np.zeros((0, 1))
+            for i in np.flatnonzero(values.any(axis=1)):
+                word = words[owners[chosen[i]]]
+                if self.known[word]:
+                    self.rows[self.known[word]] = np.maximum(self.rows[self.known[word]], values[i])
+                else:
+                    self.known[word] = len(self.rows)
+                    self.rows.append(values[i])
 
 
 class Model:
