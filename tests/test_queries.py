@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+import duck_sql
+from tidemark import registry
 
 duckdb = pytest.importorskip("duckdb")
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registry.queries(), duck_sql.statements()
 
 
 @pytest.fixture(scope="module")
@@ -55,5 +57,9 @@ def test_daily_metrics_take_one_exchange(spark, sf_dir, name):
     assert plan.count("Exchange hashpartitioning(date") == 1 and "rangepartitioning" not in plan
 
 
+def test_entry_has_every_query():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
