@@ -22,6 +22,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batches, rows: int = 256):
+    """Arrow batches in smaller parts, so that a task turns few texts into Python objects at once."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def small(ids: DataFrame) -> DataFrame:
     """Marks a stored table of ids for broadcast if its count allows; else leaves the choice to Spark."""
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids

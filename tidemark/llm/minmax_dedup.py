@@ -32,12 +32,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import connected_components, small, stored
+from tidemark.llm.common import connected_components, slices, small, stored
 
 PERMUTATIONS = 60
 # A block of a cluster holds about so many shingles (8 MB of hashes).
 BLOCK_SHINGLES = 1_000_000
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 FEATURES = "doc_id long, n_shingles long, set_key string, bands array<long>"
 
 
@@ -98,7 +98,7 @@ def document_features(size: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         multipliers, offsets = permutations()
         cache = WordHashes()
-        for batch in batches:
+        for batch in slices(batches):
             counts, keys, bands = [], [], []
             for text in batch.column("text").to_pylist():
                 hashes = shingle_hashes(text, size, cache)
@@ -115,7 +115,7 @@ def document_features(size: int, rows: int):
 def document_sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_hashes(text, size, cache).tobytes() for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sets, pa.binary())], ["doc_id", "shingles"])
     return run

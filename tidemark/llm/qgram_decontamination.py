@@ -25,14 +25,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import small, stored
+from tidemark.llm.common import slices, small, stored
 
 Q = 8
 EDIT_SHARE = 0.1
 # Characters of benchmark text in one index.
 BLOCK_CHARS = 4_000_000
 # Characters of documents scanned at once; a longer document is scanned alone.
-PIECE_CHARS = 2_000_000
+PIECE_CHARS = 500_000
 FILTER_BITS = 22
 MATCHES = "doc_id long, item_id long, start int, end int, edits int"
 
@@ -213,7 +213,7 @@ def matcher(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(shared.value)
         schema = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("edits", pa.int32())])
-        for batch in batches:
+        for batch in slices(batches):
             ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
             first, volume = 0, 0
             for i, text in enumerate(texts):

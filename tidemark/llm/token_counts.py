@@ -23,6 +23,8 @@ from itertools import chain
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.llm.common import slices
+
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 512
 # Documents and characters sampled for the table, and pre-tokens it holds.
@@ -30,7 +32,7 @@ SAMPLE_DOCUMENTS = 2_000
 SAMPLE_CHARS = 2_000
 TABLE_SIZE = 40_000
 # A task starts its cache afresh when it would hold more than so many pre-tokens.
-CACHED = 600_000
+CACHED = 300_000
 COUNTS = "doc_id long, n_bytes long, n_tokens long"
 # Texts of these characters alone are cut by the standard library's engine, which agrees on
 # them with the tokenizer's pattern and is twice as fast as one that knows all of Unicode.
@@ -113,17 +115,11 @@ def frequent_lengths(docs: DataFrame, name: str) -> dict[str, int]:
     return {p: n for p, n in zip(found, encoder.lengths(found)) if encoder.parts(p)[0] == 0} if found else {}
 
 
-def counter(name: str, shared, piece_chars: int = 1_000_000):
+def counter(name: str, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(name, shared.value)
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            sizes, first, volume = [], 0, 0
-            for i, text in enumerate(texts):
-                volume += len(text or "")
-                if volume >= piece_chars or i == len(texts) - 1:
-                    sizes += encoder.counts(texts[first:i + 1])
-                    first, volume = i + 1, 0
+        for batch in slices(batches):
+            sizes = encoder.counts(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), pa.array(sizes, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
     return run
 

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import slices, stored
 
 TRAINING_ROWS = 20_000
 LANDMARKS = 160
@@ -43,7 +43,7 @@ WORD, OVERLAP = 24, 12
 SHORT = 10
 # Kernel values below this count as none: unrelated words of one language reach it by chance.
 FLOOR = 0.35
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 THRESHOLD = 0.3
 HELD_OUT = "pmod(crc32(cast(cast(doc_id as string) as binary)), 4) = 2"
 
@@ -172,8 +172,8 @@ class Reader:
         if len(self.known) + len(fresh) > CACHED_WORDS:
             fresh = list(set().union(*documents))
             self.known, self.rows = {}, self.rows[:1]
-        for start in range(0, len(fresh), 20_000):
-            self._learn(fresh[start:start + 20_000])
+        for start in range(0, len(fresh), 8_000):
+            self._learn(fresh[start:start + 8_000])
         result = np.zeros((len(texts), len(self.landmarks.words)), np.float32)
         for i, words in enumerate(documents):
             at = {self.known[w] for w in words}
@@ -273,7 +273,7 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct landmark candidates of each document."""
-    for batch in batches:
+    for batch in slices(batches):
         for label, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist()):
             words = sorted({p for w in words_of(text) for p in parts_of(w)})
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([label] * len(words), pa.int32())], ["word", "toxic"])
@@ -282,13 +282,9 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _featurizer(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(Landmarks(shared.value))
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for start in range(0, len(texts), 256):
-                found = reader.features(texts[start:start + 256])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r.tobytes() for r in found], pa.binary()), batch.column("toxic").slice(start, 256)], ["features", "toxic"]
-                )
+        for batch in slices(batches):
+            found = reader.features(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in found], pa.binary()), batch.column("toxic")], ["features", "toxic"])
     return run
 
 
@@ -315,13 +311,10 @@ def _scorer(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         reader = Reader(model.landmarks) if model else None
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("text").to_pylist()
-            scores = [np.zeros(len(texts))] if model is None else [
-                model.scores(reader.features(texts[i:i + 256])) for i in range(0, len(texts), 256)
-            ]
-            rest = [batch.column(i) for i in range(batch.num_columns)]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(np.concatenate(scores or [np.zeros(0)]), pa.float64())], [*batch.schema.names, "score"])
+            scores = model.scores(reader.features(texts)) if model else np.zeros(len(texts))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], [*batch.schema.names, "score"])
     return run
 
 
