@@ -57,6 +57,7 @@ def test_salted_join_equals_plain_join_under_skew(spark, hot):
 def test_heavy_keys_are_few_and_exact(spark):
     df = spark.range(1000).select(F.when(F.col("id") < 400, "hot").otherwise(F.col("id").cast("string")).alias("k"))
     assert heavy_keys(df, "k", 0.1) == ["hot"]
+    assert heavy_keys(df.sparkSession.range(199).selectExpr("id AS k"), "k") == []
     assert heavy_keys(df.filter("k IS NULL"), "k") == []
 
 

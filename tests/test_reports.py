@@ -114,4 +114,5 @@ def test_reports_in_sql_over_views(spark, tmp_path):
     store = TableStore(spark, str(tmp_path))
     store.write(metrics(spark, {"conversion_rate": 0.25}), "gold_daily_metrics")
     store.register_views(["gold_daily_metrics"])
-    assert rows(spark.sql("SELECT date, conversion_rate * 100 AS rate FROM gold_daily_metrics WHERE date = CURDATE() OR true")) == [(DAY, 25.0)]
+    chosen = "SELECT date, conversion_rate * 100 AS rate FROM gold_daily_metrics WHERE date {} DATE '2024-01-30'"
+    assert rows(spark.sql(chosen.format("="))) == [(DAY, 25.0)] and rows(spark.sql(chosen.format(">"))) == []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -16,7 +17,7 @@ def heavy_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
     This runs a job; use it on a materialized table.
     """
     per_key = df.filter(F.col(key).isNotNull()).groupBy(key).count()
-    floor = max(1, int(df.count() * share))
+    floor = max(1, math.ceil(df.count() * share))
     return [row[0] for row in per_key.filter(F.col("count") >= floor).select(key).collect()]
 
 

@@ -124,6 +124,8 @@ def gold_daily_metrics(
     apps: DataFrame,
     txns: DataFrame,
     quality: list[DataFrame] | None = None,
+    app_threshold: float = C.APP_ANOMALY_RATIO,
+    txn_threshold: float = C.TXN_ANOMALY_RATIO,
 ) -> DataFrame:
     """KPIs per day that has a visit, an application or a transaction.
 
@@ -133,7 +135,7 @@ def gold_daily_metrics(
     day; the quality log counts them.
     """
     full = quality is not None
-    facts = [visit_facts(visits), application_facts(apps), transaction_facts(txns), *(quality or [])]
+    facts = [visit_facts(visits), application_facts(apps, app_threshold), transaction_facts(txns, txn_threshold), *(quality or [])]
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), facts).filter("date IS NOT NULL")
     sums = {**_BASE_SUMS, **_FULL_SUMS} if full else _BASE_SUMS
     rest = _FULL_COLUMNS if full else _BASE_COLUMNS

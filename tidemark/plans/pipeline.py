@@ -40,7 +40,6 @@ class Config:
     bound_days: int | None = None       # ends the state of the transaction join
     salts: int = STREAM_SALTS           # tasks a hot account is spread over; fixed for a stream's life
     max_files: int | None = None        # per micro-batch
-    lookback_days: int | None = None    # how long before its account an application may lie
     load_ts: str | None = None          # SQL for the ingest stamp, for repeatable runs
 
 
@@ -51,6 +50,8 @@ class Pipeline:
     queries: dict[str, StreamingQuery] = field(default_factory=dict)
 
     def __post_init__(self):
+        if self.spark.conf.get("spark.sql.session.timeZone") != "UTC":
+            raise ValueError("the session time zone must be UTC: day windows and dates would differ")
         self.store = TableStore(self.spark, self.config.root)
         self.as_of = self.config.as_of or datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -60,7 +61,8 @@ class Pipeline:
         return technical_rules(entity, self.as_of, self.config.freshness_days, self.config.freshness_hours)
 
     def _bronze(self, entity: str, streaming: bool) -> DataFrame:
-        stamp = None if self.config.load_ts is None else F.expr(
+        # A file's own time stays the same when tables are rebuilt; the clock would not.
+        stamp = F.col("_metadata.file_modification_time") if self.config.load_ts is None else F.expr(
             self.config.load_ts.format(event_time=C.event_time(entity))
         )
         raw = bronze(self.spark, self.config.landing, entity, streaming, self.config.max_files, stamp)
@@ -156,17 +158,8 @@ class Pipeline:
         self.refresh_metrics(only=self.stale_days())
 
     def _accounts_of_batch(self, batch: DataFrame) -> DataFrame:
-        """Join a micro-batch of accounts to the applications validated so far.
-
-        ``lookback_days`` prunes the applications to the days the batch can refer to;
-        without it every batch scans all of them.
-        """
-        apps = self.table("gold_applications")
-        if self.config.lookback_days is not None:
-            first = batch.agg(F.to_date(F.min("account_open_timestamp"))).first()[0]
-            if first is not None:
-                apps = apps.filter(F.col("date") >= F.date_sub(F.lit(first), self.config.lookback_days))
-        return gold_accounts(batch, apps)
+        """Join a micro-batch of accounts to all applications validated so far."""
+        return gold_accounts(batch, self.table("gold_applications"))
 
     def _app_anomalies(self, apps: DataFrame) -> DataFrame:
         return app_anomalies_daily(apps.drop("date"), self.config.app_threshold, self.config.delay)
@@ -240,6 +233,8 @@ class Pipeline:
             days(self.table("gold_applications")),
             days(self.table("gold_transaction_features")),
             bronze_facts(marked, business, {e: self._rules(e) for e in C.ENTITIES}),
+            self.config.app_threshold,
+            self.config.txn_threshold,
         )
         self.store.write(metrics, "gold_daily_metrics", ("date",), refresh, balance=True)
         # the log comes last: a stop in between, as by a fail rule, leaves the days stale

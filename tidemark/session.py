@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -87,8 +88,11 @@ def settings(spark: SparkSession, values: dict[str, str]):
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 
-    Only where the cluster names none (single-machine tests) is it a local folder.
+    Only a local master may name none: there it is a local folder. On a cluster every
+    executor would write to a disk of its own, so that is an error.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     base = shared or tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{base.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"

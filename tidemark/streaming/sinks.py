@@ -59,8 +59,15 @@ def count_rules(df: DataFrame, rules: Sequence[Rule], name: str) -> DataFrame:
 
 
 def observed_totals(query: StreamingQuery, name: str) -> dict[str, int]:
-    """Counters of ``count_rules`` summed over the query's recent progress reports."""
+    """Counters of ``count_rules`` summed over the query's progress reports.
+
+    Spark keeps only so many of them: once some may be gone this is an error, and the totals
+    are to be counted from the marks stored with the rows.
+    """
     totals: dict[str, int] = {}
+    kept = int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates"))
+    if len(query.recentProgress) >= kept:
+        raise ValueError(f"{name}: earlier progress reports may be gone; count the stored marks instead")
     for progress in query.recentProgress:
         row = progress.observedMetrics.get(name)
         for key, value in (row.asDict() if row is not None else {}).items():
