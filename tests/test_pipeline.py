@@ -12,7 +12,8 @@ from tidemark.sources.landing import land
 from tidemark.streaming.sinks import observed_totals
 
 TABLES = ["silver_visitor_events", "silver_applications", "silver_accounts", "silver_transactions", "gold_applications",
-          "gold_accounts", "gold_transaction_features", "quality_log", "gold_daily_metrics"]
+          "gold_accounts", "gold_transaction_features", "quality_log", "gold_daily_metrics",
+          "gold_app_ml_anomaly_agg", "gold_txn_ml_anomaly_agg"]
 
 
 def _entities(spark, path):
@@ -35,7 +36,7 @@ def landing(spark, sf_dir, tmp_path_factory):
 
 
 def _config(landing, root, **kw):
-    return Config(str(landing), str(root), sample.AS_OF, freshness_days=sample.REPLAY_DAYS, delay="60 days",
+    return Config(str(landing), str(root), sample.AS_OF, freshness_days=sample.REPLAY_DAYS,
                   load_ts="{event_time} + INTERVAL 1 HOUR", **kw)
 
 
@@ -46,6 +47,7 @@ def test_stream_in_two_runs_equals_batch(spark, landing, tmp_path):
     first = stream.table("gold_daily_metrics").agg(F.max("date")).first()[0]
     assert first.isoformat() == "2024-01-14"
     assert stream.stale_days() == []
+    _a_rebuild_on_the_same_root_leaves_the_stream_alone(spark, _config(folder, tmp_path / "stream", salts=1))
     for entity, df in _entities(spark, small).items():
         moment = C.event_time(entity)
         land(df.filter(f"{moment} >= '2024-01-15'"), f"{folder}/{entity}", "20240115_live", moment)
@@ -68,6 +70,10 @@ def test_stream_in_two_runs_equals_batch(spark, landing, tmp_path):
         assert left.count() > 0, name
     for name in ("silver_applications", "silver_visitor_events", "gold_applications"):
         assert batch.rejected(name).count() == stream.rejected(name).count() > 0
+    for pipeline in (batch, stream):
+        flagged = [pipeline.table(f"gold_{k}_ml_anomaly_agg").agg(F.sum(f"{k}_anomalies_count")).first()[0] for k in ("app", "txn")]
+        assert pipeline.table("gold_daily_metrics").agg(F.sum("ml_anomalies_count")).first()[0] == sum(flagged)
+        assert min(flagged) > 0
     # clean + rejected = bronze
     for entity in C.ENTITIES:
         assert batch.store.read(f"silver_{entity}").count() == batch.store.read(f"bronze_{entity}").count()
@@ -79,7 +85,20 @@ def test_stream_in_two_runs_equals_batch(spark, landing, tmp_path):
     assert rows(batch.table("gold_daily_metrics"), "date", "total_visits", "detected_tdq_bdq_anomalies_count") == before
     assert reports.trust_score_today(batch.table("gold_daily_metrics"), sample.AS_OF).count() == 1
     _sql_users_find_their_tables(spark, batch)
-    _one_more_row_makes_one_day_stale(batch, tmp_path / "batch/tables")
+    _one_more_row_makes_one_day_stale(batch, tmp_path / "batch/batch/tables")
+
+
+def _a_rebuild_on_the_same_root_leaves_the_stream_alone(spark, config):
+    """Readers see the run that ended last; one that breaks off changes nothing for them."""
+    assert Pipeline(spark, config).store.root.endswith("/stream")
+    rebuilt = Pipeline(spark, config)
+    rebuilt.run_batch()
+    assert rebuilt.store.root.endswith("/batch") and Pipeline(spark, config).store.root == rebuilt.store.root
+    broken = Pipeline(spark, config)
+    broken._take_in = lambda: 1 / 0
+    with pytest.raises(ZeroDivisionError):
+        broken.run_stream()
+    assert broken.store.root == Pipeline(spark, config).store.root == rebuilt.store.root
 
 
 def _one_more_row_makes_one_day_stale(batch, tables):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 from functools import reduce
@@ -24,9 +25,21 @@ from tidemark.sources.tables import OUTCOME, TableStore, materialize, with_outco
 from tidemark.streaming.sinks import BATCH, count_rules, per_batch
 
 
+BATCH_MODE, STREAM_MODE = "batch", "stream"
+
+# Tables that may have no row, thus no file to take the schema from.
+_SCHEMAS = {
+    "gold_app_ml_anomaly_agg": "app_anomalies_count bigint, date date",
+    "gold_txn_ml_anomaly_agg": "txn_anomalies_count bigint, date date",
+}
+
+
 @dataclass(frozen=True)
 class Config:
-    """``root`` must be shared storage on a cluster: it holds tables and checkpoints."""
+    """``root`` must be shared storage on a cluster: it holds tables and checkpoints.
+
+    Each run mode has a folder of its own below it, and readers see the one that ended last.
+    """
 
     landing: str
     root: str
@@ -36,7 +49,7 @@ class Config:
     app_threshold: float = C.APP_ANOMALY_RATIO
     txn_threshold: float = C.TXN_ANOMALY_RATIO
     amount_cap: float = C.AMOUNT_TO_LIMIT_CAP
-    delay: str = C.WATERMARK_DELAY      # must cover the disorder of the feed
+    delay: str = C.WATERMARK_DELAY      # with bound_days: must cover the disorder of the feed
     bound_days: int | None = None       # ends the state of the transaction join
     salts: int = STREAM_SALTS           # tasks a hot account is spread over; fixed for a stream's life
     max_files: int | None = None        # per micro-batch
@@ -52,9 +65,40 @@ class Pipeline:
     def __post_init__(self):
         if self.spark.conf.get("spark.sql.session.timeZone") != "UTC":
             raise ValueError("the session time zone must be UTC: day windows and dates would differ")
-        self.store = TableStore(self.spark, self.config.root)
+        self._current = TableStore(self.spark, self.config.root)
+        self._use(self._finished_mode() or BATCH_MODE)
         self.as_of = self.config.as_of or datetime.now(timezone.utc).replace(tzinfo=None)
 
+    # --- run modes ---
+
+    def _finished_mode(self) -> str | None:
+        if not self._current.exists("mode"):
+            return None
+        return self._current.read("mode").agg(F.max_by("mode", "ended")).first()[0]
+
+    def _use(self, mode: str) -> None:
+        self.store = TableStore(self.spark, f"{self.config.root.rstrip('/')}/{mode}")
+
+    @contextmanager
+    def _mode(self, mode: str):
+        """Work on the tables of one mode; readers turn to them only once the run has ended.
+
+        A stream's checkpoints and sink logs belong to the files they name, so a rebuild
+        must not replace those. Apart from each other, either mode can follow the other, and
+        a run that breaks off leaves the tables of the other mode in use.
+        """
+        before = self.store
+        self._use(mode)
+        try:
+            yield
+        except BaseException:
+            self.store = before
+            raise
+        if self._finished_mode() != mode:
+            # appended, so that there is an entry at any moment
+            entry = self.spark.range(1).select(F.lit(mode).alias("mode"), F.current_timestamp().alias("ended"))
+            entry.write.mode("append").parquet(self._current.path("mode"))
+
     # --- shared pieces ---
 
     def _rules(self, entity: str):
@@ -86,7 +130,7 @@ class Pipeline:
 
     def table(self, name: str) -> DataFrame:
         """Accepted rows of a table."""
-        df = self.store.read(name).drop(BATCH)
+        df = self.store.read(name, _SCHEMAS.get(name)).drop(BATCH)
         return self.store.clean(df) if OUTCOME in df.columns else df
 
     def rejected(self, name: str) -> DataFrame:
@@ -107,6 +151,10 @@ class Pipeline:
 
     def run_batch(self) -> None:
         """Rebuild every table from all landed files."""
+        with self._mode(BATCH_MODE):
+            self._rebuild()
+
+    def _rebuild(self) -> None:
         write, read = self.store.write, self.table
         for entity in C.ENTITIES:
             write(self._bronze(entity, False), f"bronze_{entity}", ("date",))
@@ -118,8 +166,6 @@ class Pipeline:
         hot = heavy_keys(transactions, "account_id") if self.config.salts > 1 else None
         features = self._gold_txn(transactions, read("silver_accounts"), hot)
         write(features, "gold_transaction_features", ("date",), balance=True)
-        write(self._app_anomalies(read("gold_applications")), "gold_app_ml_anomaly_agg")
-        write(self._txn_anomalies(read("gold_transaction_features")), "gold_txn_ml_anomaly_agg")
         self.refresh_metrics()
 
     def run_stream(self) -> None:
@@ -128,45 +174,35 @@ class Pipeline:
         Each table is a query with a checkpoint of its own and ends when its input is used
         up, so an upstream table is complete before the next one reads it.
         """
-        with settings(self.spark, stream_settings(self.spark)):
-            silver = {}
-            for entity in C.ENTITIES:
-                raw = self._stream(f"bronze_{entity}", self._bronze(entity, True), ("date",))
-                counted = count_rules(raw, self._rules(entity), f"silver_{entity}")
-                rows = with_outcome(checked(entity, counted, self._rules(entity)))
-                silver[entity] = self.store.clean(self._stream(f"silver_{entity}", rows, (OUTCOME, "date")))
-            apps = self.store.clean(
-                self._stream("gold_applications", self._gold_apps(silver["applications"]), (OUTCOME, "date"))
-            )
-            self._finish(
-                "gold_accounts",
-                per_batch(
-                    silver["accounts"],
-                    self.store.path("gold_accounts"),
-                    self.store.checkpoint("gold_accounts"),
-                    self._accounts_of_batch,
-                    name="gold_accounts",
-                ),
-            )
-            txn = self._stream(
-                "gold_transaction_features",
-                self._gold_txn(silver["transactions"], silver["accounts"]),
-                ("date",),
-            )
-            self._stream("gold_app_ml_anomaly_agg", self._app_anomalies(apps))
-            self._stream("gold_txn_ml_anomaly_agg", self._txn_anomalies(txn))
-        self.refresh_metrics(only=self.stale_days())
+        with self._mode(STREAM_MODE):
+            with settings(self.spark, stream_settings(self.spark)):
+                self._take_in()
+            self.refresh_metrics(only=self.stale_days())
+
+    def _take_in(self) -> None:
+        silver = {}
+        for entity in C.ENTITIES:
+            raw = self._stream(f"bronze_{entity}", self._bronze(entity, True), ("date",))
+            counted = count_rules(raw, self._rules(entity), f"silver_{entity}")
+            rows = with_outcome(checked(entity, counted, self._rules(entity)))
+            silver[entity] = self.store.clean(self._stream(f"silver_{entity}", rows, (OUTCOME, "date")))
+        self._stream("gold_applications", self._gold_apps(silver["applications"]), (OUTCOME, "date"))
+        self._finish(
+            "gold_accounts",
+            per_batch(
+                silver["accounts"],
+                self.store.path("gold_accounts"),
+                self.store.checkpoint("gold_accounts"),
+                self._accounts_of_batch,
+                name="gold_accounts",
+            ),
+        )
+        self._stream("gold_transaction_features", self._gold_txn(silver["transactions"], silver["accounts"]), ("date",))
 
     def _accounts_of_batch(self, batch: DataFrame) -> DataFrame:
         """Join a micro-batch of accounts to all applications validated so far."""
         return gold_accounts(batch, self.table("gold_applications"))
 
-    def _app_anomalies(self, apps: DataFrame) -> DataFrame:
-        return app_anomalies_daily(apps.drop("date"), self.config.app_threshold, self.config.delay)
-
-    def _txn_anomalies(self, txn: DataFrame) -> DataFrame:
-        return txn_anomalies_daily(txn.drop("date"), self.config.txn_threshold, self.config.delay)
-
     def _stream(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
         self._finish(name, self.store.start(df, name, partition_by))
         return self.store.read_stream(name, df.schema, self.config.max_files)
@@ -206,10 +242,11 @@ class Pipeline:
         return [r[0] for r in changed.filter("NOT now <=> seen").select("date").distinct().collect()]
 
     def refresh_metrics(self, since: str | None = None, only: list[date | None] | None = None) -> None:
-        """Recompute quality log and daily metrics: all days, those from ``since`` on, or ``only`` some.
+        """Recompute quality log, anomaly tables and daily metrics: all days, those from ``since`` on, or ``only`` some.
 
-        Both read the marks the checked tables carry, so no rule runs a second time and few
-        columns are scanned. Tables are laid out by event day: a choice of days prunes every
+        Log and metrics read the marks the checked tables carry, so no rule runs a second time
+        and few columns are scanned. The anomaly tables count the stored rows of the same days,
+        the open day and late rows included, so they agree with the metrics in either mode. Tables are laid out by event day: a choice of days prunes every
         scan to them and replaces only their partitions. Undated rows are always included.
         """
         if only is not None and not only:
@@ -228,14 +265,18 @@ class Pipeline:
         logs = [quality_log(getattr(marked, e), self._rules(e), f"silver_{e}", C.event_time(e)) for e in C.ENTITIES]
         logs.append(quality_log(business, BUSINESS_RULES, "gold_applications"))
         refresh = since is not None or only is not None
+        apps, transactions = days(self.table("gold_applications")), days(self.table("gold_transaction_features"))
+        thresholds = self.config.app_threshold, self.config.txn_threshold
         metrics = gold_daily_metrics(
             days(self.table("silver_visitor_events")),
-            days(self.table("gold_applications")),
-            days(self.table("gold_transaction_features")),
+            apps,
+            transactions,
             bronze_facts(marked, business, {e: self._rules(e) for e in C.ENTITIES}),
-            self.config.app_threshold,
-            self.config.txn_threshold,
+            *thresholds,
         )
+        flagged = app_anomalies_daily(apps, thresholds[0]), txn_anomalies_daily(transactions, thresholds[1])
+        for name, counts in zip(_SCHEMAS, flagged):
+            self.store.write(counts, name, ("date",), refresh, balance=True)
         self.store.write(metrics, "gold_daily_metrics", ("date",), refresh, balance=True)
         # the log comes last: a stop in between, as by a fail rule, leaves the days stale
         self.store.write(union_logs(logs), "quality_log", ("date",), refresh, balance=True)

@@ -75,7 +75,7 @@ class TableStore:
             return False
         return True
 
-    def read(self, name: str, schema: T.StructType | None = None) -> DataFrame:
+    def read(self, name: str, schema: T.StructType | str | None = None) -> DataFrame:
         reader = self.spark.read.schema(schema) if schema else self.spark.read
         return reader.parquet(self.path(name))
 
