@@ -77,7 +77,8 @@ class Pipeline:
         return self._current.read("mode").agg(F.max_by("mode", "ended")).first()[0]
 
     def _use(self, mode: str) -> None:
-        self.store = TableStore(self.spark, f"{self.config.root.rstrip('/')}/{mode}")
+        # the runs of a stream add files side by side, and later ones may have more columns
+        self.store = TableStore(self.spark, f"{self.config.root.rstrip('/')}/{mode}", merge=mode == STREAM_MODE)
 
     @contextmanager
     def _mode(self, mode: str):

@@ -117,5 +117,5 @@ def checked(entity: str, bronze: DataFrame, rules: Sequence[Rule], keep_all: boo
     """Every bronze row in the silver layout, with the names of the rules it failed."""
     marked = mark_failures(bronze, rules)
     if entity == "transactions" and not keep_all:
-        return trimmed(marked, FAILED, *[c for c in ("date",) if c in bronze.columns])
+        return trimmed(marked, FAILED, *[c for c in ("date", "status") if c in bronze.columns])
     return stamped(marked)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tidemark import contracts as C
+from tidemark.sources.drift import read_merged, widened
 
 # Batch folders hold separate `date=` trees below one root, which partition discovery
 # refuses as conflicting; recursive lookup reads the files and ignores the folder names.
@@ -58,11 +59,16 @@ def bronze_batch(spark: SparkSession, path: str, schema: T.StructType, load_ts:
 
 
 def bronze(spark: SparkSession, landing: str, entity: str, streaming: bool = False, max_files: int | None = None, load_ts: Column | None = None) -> DataFrame:
-    """The bronze table of ``entity`` from ``<landing>/<entity>``."""
+    """The bronze table of ``entity`` from ``<landing>/<entity>``: its contract, then whatever else has landed.
+
+    Tasks gather the schemas from the parquet footers. Columns that land while a stream is
+    running join it at its next start.
+    """
     path = f"{landing.rstrip('/')}/{entity}"
+    schema = widened(C.contract(entity), read_merged(spark, path))
     if streaming:
-        return bronze_stream(spark, path, C.contract(entity), max_files, load_ts)
-    return bronze_batch(spark, path, C.contract(entity), load_ts)
+        return bronze_stream(spark, path, schema, max_files, load_ts)
+    return bronze_batch(spark, path, schema, load_ts)
 
 
 def landed_counts(spark: SparkSession, paths: Mapping[str, str]) -> DataFrame:

@@ -25,10 +25,10 @@ def with_outcome(marked: DataFrame) -> DataFrame:
 
 
 class TableStore:
-    """Tables below one root folder."""
+    """Tables below one root folder; ``merge`` reads files of differing schemas as one table."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, merge: bool = False):
+        self.spark, self.root, self.merge = spark, root.rstrip("/"), merge
 
     def path(self, name: str) -> str:
         return f"{self.root}/tables/{name}"
@@ -76,7 +76,7 @@ class TableStore:
         return True
 
     def read(self, name: str, schema: T.StructType | str | None = None) -> DataFrame:
-        reader = self.spark.read.schema(schema) if schema else self.spark.read
+        reader = self.spark.read.schema(schema) if schema else self.spark.read.option("mergeSchema", self.merge)
         return reader.parquet(self.path(name))
 
     def read_stream(self, name: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
