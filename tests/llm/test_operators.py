@@ -96,6 +96,15 @@ def test_matches_equal_the_full_alignment(spark):
     assert qgrams.matches(table, benchmark.limit(0)).count() == 0 and qgrams.matches(table.limit(0), benchmark).count() == 0
 
 
+@pytest.mark.parametrize("hits", [50, 2_000_000])
+def test_repetitive_texts_are_matched_in_parts(monkeypatch, hits):
+    monkeypatch.setattr(qgrams, "HITS", hits)
+    index = qgrams.Index([(1, "ab" * 60), (2, "ab" * 60), (3, "some other passage of a plain kind")])
+    texts = ["ab" * 500, "x" * 900, "", None, "zz " + "ab" * 60 + " and some other passage of a plain kind"]
+    found = {(d, i) for d, i, *_ in qgrams.scan(index, [1, 2, 3, 4, 5], texts)}
+    assert found == {(1, 1), (1, 2), (5, 1), (5, 2), (5, 3)}
+
+
 # --- WARC ---
 
 def test_warc_round_trip(spark):

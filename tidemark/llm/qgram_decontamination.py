@@ -33,6 +33,8 @@ EDIT_SHARE = 0.1
 BLOCK_CHARS = 4_000_000
 # Characters of documents scanned at once; a longer document is scanned alone.
 PIECE_CHARS = 500_000
+# Shared q-grams listed at once.
+HITS = 2_000_000
 FILTER_BITS = 22
 MATCHES = "doc_id long, item_id long, start int, end int, edits int"
 
@@ -102,24 +104,21 @@ class Index:
         nth[odd] = np.minimum(np.searchsorted(self.values, seen[at[odd]]), len(self.values) - 1)
         good = self.values[nth] == seen[at]
         at, nth = at[good], nth[good]
-        first, times = self.first[nth], self.times[nth]
-        total = int(times.sum())
-        if not total:
-            return []
-        nth = np.arange(total) - np.repeat(np.cumsum(times) - times, times)
-        hit = np.repeat(first, times) + nth
-        item = self.items[hit]
-        width = 2 * self.budgets + 1
-        band = (np.repeat(at, times) - self.places[hit]) // width[item]
         span = np.int64(len(chars) + self._longest() + 2)
-        key, count = np.unique(item * (2 * span) + band + span, return_counts=True)
+        shared = self._shared(at, nth, span)
+        if not len(shared):
+            return []
+        slots = shared // (2 * span)
+        keys = self.items[slots] * (2 * span) + shared % (2 * span)
+        key, count = np.unique(keys, return_counts=True)
         after = np.zeros(len(count), np.int64)
         adjacent = np.flatnonzero(key[1:] == key[:-1] + 1)
         after[adjacent] = count[adjacent + 1]
         good = np.flatnonzero(count + after >= self.bounds[key // (2 * span)])
         if not len(good):
             return []
-        good = good[self._distinct(key[good], item * (2 * span) + band + span, self.places[hit]) >= self.bounds[key[good] // (2 * span)]]
+        good = good[self._distinct(key[good], keys, self.places[slots]) >= self.bounds[key[good] // (2 * span)]]
+        width = 2 * self.budgets + 1
         found: list[list[int]] = []
         for k in key[good].tolist():
             i, b = k // (2 * span), k % (2 * span) - int(span)
@@ -130,6 +129,25 @@ class Index:
                 found.append([i, b * w, (b + 2) * w - 1])
         return [tuple(x) for x in found]
 
+    def _shared(self, at: np.ndarray, nth: np.ndarray, span: np.int64) -> np.ndarray:
+        """Distinct (item position, diagonal band) of all shared q-grams, coded as one number each.
+
+        Repetitive texts share a q-gram many times over, so hits are listed in bounded parts.
+        """
+        first, times = self.first[nth], self.times[nth]
+        ends = np.cumsum(times)
+        parts, start = [], 0
+        while start < len(at):
+            done = ends[start] - times[start]
+            stop = max(start + 1, int(np.searchsorted(ends, done + HITS, "right")))
+            n = times[start:stop]
+            hit = np.arange(int(n.sum())) + np.repeat(first[start:stop] - (ends[start:stop] - n - done), n)
+            width = 2 * self.budgets[self.items[hit]] + 1
+            band = (np.repeat(at[start:stop], n) - self.places[hit]) // width
+            parts.append(np.unique(hit * (2 * span) + band + span))
+            start = stop
+        return parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts or [np.empty(0, np.int64)]))
+
     @staticmethod
     def _distinct(wanted: np.ndarray, keys: np.ndarray, places: np.ndarray) -> np.ndarray:
         """Distinct item positions among the hits of each wanted band and the one after it."""
