@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 SEED = "mix-1"
 # Largest mean of one Poisson draw.
 PIECE = 32
+# The plan of so many sources, two kilobytes each at most, is broadcast; a larger one is joined by a shuffle.
+BROADCAST_SOURCES = 10_000
 
 
 def point(*parts: Column) -> Column:
@@ -67,6 +69,8 @@ def mixed(docs: DataFrame, weights: DataFrame | None = None, seed: str = SEED) -
     )
     plan = plan.withColumn("rest_sums", distribution(F.col("rate") - F.col("full") * PIECE))
     plan = plan.withColumn("full_sums", F.when(F.col("full") > 0, distribution(F.lit(float(PIECE)))))
+    if plan.count() <= BROADCAST_SOURCES:
+        plan = F.broadcast(plan)
     drawn = rows.join(plan, F.expr(f"{source} <=> plan_source")).withColumn("piece", F.explode(F.expr("sequence(0, full)")))
     u = point(F.lit(seed), F.col(doc_id), F.col("piece"))
     sums = F.when(F.col("piece") == F.col("full"), F.col("rest_sums")).otherwise(F.col("full_sums"))
