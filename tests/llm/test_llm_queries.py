@@ -12,7 +12,7 @@ SQL = oracle_sql()
 @pytest.fixture(scope="module")
 def duck(sf_dir):
     con = duckdb.connect()
-    for name in ("documents", "pages", "embeddings"):
+    for name in ("documents", "pages", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     return con
 

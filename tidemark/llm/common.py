@@ -34,26 +34,46 @@ def small(ids: DataFrame) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
+# A node is a hub when it has more than so many edges and more than this share of all of them,
+# so there are at most 1 / HUB_SHARE hubs (3 MB) on either side of an edge.
+HUB_EDGES, HUB_SHARE = 1_000, 1e-5
+
+
+def _with_least(edges: DataFrame, least: DataFrame, limit: float) -> DataFrame:
+    """``edges`` with the value ``m`` that ``least`` (a, m, degree) has for each ``a``.
+
+    Hubs, nodes of more than ``limit`` edges, are few: theirs are broadcast, so that their
+    edges stay where they are and no task gets all of a hub's.
+    """
+    hubs = F.broadcast(least.where(F.col("degree") > limit).select("a", "m"))
+    rest = edges.join(hubs.select("a"), "a", "left_anti").join(least.where(F.col("degree") <= limit).select("a", "m"), "a")
+    return edges.join(hubs, "a").unionByName(rest)
+
+
 def connected_components(edges: DataFrame, label: str = "components") -> DataFrame:
     """(node, component) for an edge table (a, b) of longs; component is the smallest node reachable.
 
     Alternates two star steps until nothing changes. The large step hangs all larger
     neighbours of a node on its smallest neighbour, the small step all smaller ones, so the
     depth shrinks geometrically. Minima are combined before each shuffle, no neighbour list
-    is ever collected. An empty edge table gives an empty result.
+    is ever collected, and the edges of a hub are not brought together. An empty edge table
+    gives an empty result.
     """
     now = stored(edges.selectExpr("greatest(a, b) AS a", "least(a, b) AS b").where("a <> b").distinct(), label)
-    while True:
+    mark = _fingerprint(now)
+    while mark[0]:
+        limit = max(HUB_EDGES, 2 * mark[0] * HUB_SHARE)
         both = now.unionByName(now.selectExpr("b AS a", "a AS b"))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").selectExpr("b AS a", "m AS b")
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(low, "a")
+        least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count("*").alias("degree")), label)
+        large = stored(_with_least(both.where("b > a"), least, limit).selectExpr("b AS a", "m AS b"), label)
+        low = stored(large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("degree")), label)
+        joined = _with_least(large, low, limit)
         star = joined.where("b <> m").selectExpr("b AS a", "m AS b").unionByName(low.selectExpr("a", "m AS b"))
         new = stored(star.where("a <> b").distinct(), label)
-        if _fingerprint(new) == _fingerprint(now):
+        after = _fingerprint(new)
+        if after == mark:
             break
-        now = new
+        now, mark = new, after
     return now.selectExpr("a AS node", "b AS component").unionByName(now.selectExpr("b AS node", "b AS component").distinct())
 
 

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import (
-    extendible_shards, html_text, kdtree_topk, minmax_dedup, poisson_mix, qgram_decontamination, token_counts, toxicity, url_rules, warc,
+    collocations, extendible_shards, html_text, importance_resampling, kdtree_topk, minmax_dedup, poisson_mix, qgram_decontamination,
+    simhash_tiles, token_counts, toxicity, url_rules, warc,
 )
 from tidemark.llm.common import table
 
@@ -56,10 +57,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_tiles.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resampled(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(spark, table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [
         op1_html_text, op2_qgram_decontamination, op3_warc_normaliser, op4_minmax_dedup, op5_token_counts, op6_poisson_mix,
         op7_extendible_shards, op8_url_rules, op9_kdtree_topk, op10_toxicity,
+        op11_simhash_dedup, op12_importance_resampling, op13_collocations,
     ]
     return {f.__name__: f for f in found}
 
@@ -209,6 +223,91 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <=
 """
 
 
+_RESAMPLING_SQL = r"""
+WITH RECURSIVE cells AS (
+  SELECT i::BIGINT AS i, i::BIGINT AS c, 0 AS step FROM range(256) AS r(i)
+  UNION ALL
+  SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM cells WHERE step < 8
+), crc_table AS (
+  SELECT i, c FROM cells WHERE step = 8
+), texts AS (
+  SELECT 'd' AS side, row_number() OVER () AS id, doc_id, text FROM documents
+  UNION ALL SELECT 'b', row_number() OVER (), NULL, text FROM benchmark
+), parted AS (
+  SELECT side, id, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM texts
+), features AS (
+  SELECT side, id, unnest(list_concat(w, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))])) AS f FROM parted
+), counted AS (
+  SELECT side, id, f, count(*) AS n FROM features GROUP BY ALL
+), distinct_features AS (
+  SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM counted)
+), crc AS (
+  SELECT f, h, 1 AS pos, 4294967295::BIGINT AS c FROM distinct_features
+  UNION ALL
+  SELECT f, h, pos + 2, xor(crc.c >> 8, t.c)
+  FROM crc JOIN crc_table t ON t.i = (xor(crc.c, ('0x' || substr(h, pos, 2))::BIGINT) & 255) WHERE pos < length(h)
+), buckets AS (
+  SELECT f, xor(c, 4294967295) % 10000 AS bucket FROM crc WHERE pos > length(h)
+), placed AS (
+  SELECT side, id, bucket, n FROM counted JOIN buckets USING (f)
+), totals AS (
+  SELECT bucket, sum(n) FILTER (WHERE side = 'd') AS s, sum(n) FILTER (WHERE side = 'b') AS t FROM placed GROUP BY bucket
+), gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM totals) + 10000)::DOUBLE
+    / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM totals) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM totals
+), weighed AS (
+  SELECT id, sum(n)::BIGINT AS n_features, floor(sum(n * gain)::DOUBLE / sum(n))::BIGINT AS weight
+  FROM placed JOIN gains USING (bucket) WHERE side = 'd' GROUP BY id
+), scored AS (
+  SELECT p.doc_id, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(p.doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+      / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM parted p LEFT JOIN weighed USING (id) WHERE p.side = 'd'
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) FILTER (WHERE n_words >= 20) OVER () AS fit
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 25 * fit // 100 THEN place END AS rank FROM ranked
+"""
+
+_COLLOCATION_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), totals AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM worded GROUP BY lang
+), grams AS (
+  SELECT lang, size, w[i:i + size - 1] AS w FROM (
+    SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM worded, (SELECT unnest([1, 2, 3, 4]) AS size))
+), frequent AS (
+  SELECT lang, size, w, array_to_string(w, ' ') AS phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30
+), cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, k, x.f AS l, y.f AS r, (2000000::HUGEINT * c.f // (x.f::HUGEINT + y.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM frequent WHERE size > 1) c
+  JOIN frequent x ON x.lang = c.lang AND x.w = c.w[1:k] JOIN frequent y ON y.lang = c.lang AND y.w = c.w[k + 1:c.size]
+), lowest AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), held AS (
+  SELECT lang, phrase, max(longer) AS longer FROM (
+    SELECT lang, f AS longer, array_to_string(w[pos:pos + s - 1], ' ') AS phrase FROM (
+      SELECT *, unnest(range(1, size - s + 2)) AS pos FROM (SELECT *, unnest(range(2, size)) AS s FROM frequent WHERE size > 2)))
+  GROUP BY lang, phrase
+), kept AS (
+  SELECT l.* FROM lowest l LEFT JOIN held h ON h.lang = l.lang AND h.phrase = l.phrase
+  WHERE h.longer IS NULL OR 100::HUGEINT * h.longer < 80::HUGEINT * l.a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op3_warc_normaliser": _WARC_SQL,
@@ -217,4 +316,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_extendible_shards": _SHARD_SQL,
         "op8_url_rules": _url_sql(),
         "op9_kdtree_topk": _TOP_K_SQL,
+        "op12_importance_resampling": _RESAMPLING_SQL,
+        "op13_collocations": _COLLOCATION_SQL,
     }
