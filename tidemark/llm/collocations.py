@@ -6,10 +6,11 @@ n-gram from two of its values, so numpy fingerprints every n-gram at once.
 
 1. Words: tasks combine (fingerprint, count) and the shuffle sums them. Those that reach
    ``least`` occurrences mark a bit map of fixed size.
-2. Pairs: the same for the pairs whose two words are marked. A phrase is only as frequent as
-   any part of it, so nothing is lost; a bit that two fingerprints share lets a few more through.
-3. Phrases: each task takes the n-grams of one to ``longest`` words all of whose pairs are marked.
-   Per n-gram it keeps a count and an occurrence pointer, the place of one occurrence in its text.
+2. Pairs, then longer n-grams but for the longest: the same for those whose two parts, all but
+   the last and all but the first word, are marked. A phrase is only as frequent as any part of
+   it, so nothing is lost; a bit that two fingerprints share lets a few more through.
+3. Phrases: each task takes the marked n-grams, and the longest ones whose two parts are. Per
+   n-gram it keeps a count and an occurrence pointer, the place of one occurrence in its text.
    Occurrences with equal fingerprints are checked against the text at that pointer, word by word;
    what differs is a collision and gets a pointer of its own. Only here, for the few that may
    be frequent, pointers turn into text, and the shuffle sums counts by text, which is exact.
@@ -41,6 +42,8 @@ CHUNK = 1 << 21
 HELD_ROWS = 1 << 21
 HELD_PHRASES = 200_000
 LONG_WORD = 64
+# Parts of a language whose best phrases are ranked apart from each other first.
+PARTS = 32
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _CLASSES = bytes(10 if c in _BREAKS else 32 if c == 9 else c + 32 if 65 <= c < 91 else c for c in range(256))
 _MULTIPLIER = 0x9E3779B97F4A7C15 & ~7 | 5
@@ -205,56 +208,59 @@ def _words(chunk: int, bits: int):
     return run
 
 
-def _pairs(chunk: int, bits: int, words):
+def _known(part: Chunk, maps: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(first words, fingerprints) of the n-grams of 1, 2, ... words that their map marks, as all their parts."""
+    first, keys = part.grams(1), part.fingerprints(part.grams(1), 1)
+    for n, bitmap in enumerate(maps, 1):
+        if n > 1:
+            first = _grown(part, first, n)
+            keys = part.fingerprints(first, n)
+        hit = marked(bitmap, keys)
+        first, keys = first[hit], keys[hit]
+        yield first, keys
+
+
+def _grown(part: Chunk, first: np.ndarray, n: int) -> np.ndarray:
+    """First words of the n-grams whose two parts of ``n - 1`` words are among ``first``."""
+    here = np.zeros(len(part.starts) + 1, bool)
+    here[first] = True
+    grams = part.grams(n)
+    return grams[here[grams] & here[grams + 1]]
+
+
+def _grams(chunk: int, bits: int, maps):
+    """Counts of the n-grams one word longer than the last of ``maps`` has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, sums, bitmap = Powers(), Sums(), np.frombuffer(words.value, np.uint8)
+        powers, sums, known = Powers(), Sums(), [np.frombuffer(m.value, np.uint8) for m in maps]
         for lang, raw in _runs(batches, chunk):
             part = Chunk(raw, lang, powers, bits)
-            known = marked(bitmap, part.fingerprints(np.arange(len(part.starts)), 1))
-            first = part.grams(2)
-            first = first[known[first] & known[first + 1]]
-            if sums.add(part.fingerprints(first, 2)):
+            *_, (first, _) = _known(part, known)
+            if sums.add(part.fingerprints(_grown(part, first, len(maps) + 1), len(maps) + 1)):
                 yield sums.flush()
         yield sums.flush()
     return run
 
 
-def _phrases(chunk: int, bits: int, longest: int, words, pairs):
+def _phrases(chunk: int, bits: int, maps):
+    """Counts by text of the marked n-grams and of those one word longer."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> pa.RecordBatch:
-            rows = [(lang, n, phrase, count) for (lang, n, phrase), count in counts.items()]
+            rows = [(*key, count) for key, count in counts.items()]
             counts.clear()
             lang, n, phrase, count = zip(*rows) if rows else ((),) * 4
-            # bytes, as Spark's strings are; a lone surrogate is none of Arrow's
             return pa.RecordBatch.from_arrays(
                 [pa.array(lang, pa.string()), pa.array(n, pa.int32()), pa.array(phrase, pa.binary()), pa.array(count, pa.int64())],
                 ["lang", "words", "phrase", "n"],
             )
 
-        powers, counts = Powers(), Counter()
-        word_map, pair_map = (np.frombuffer(x.value, np.uint8) for x in (words, pairs))
+        powers, counts, known = Powers(), Counter(), [np.frombuffer(m.value, np.uint8) for m in maps]
         for lang, raw in _runs(batches, chunk):
             part = Chunk(raw, lang, powers, bits)
-            every = np.arange(len(part.starts))
-            single = part.fingerprints(every, 1)
-            ids = part.word_ids(single)
-            known = marked(word_map, single)
-            together = np.zeros(len(every) + 1, bool)
-            for n in range(1, longest + 1):
-                if n == 1:
-                    first, keys = every[known], single[known]
-                else:
-                    first = part.grams(n)
-                    if n == 2:
-                        first = first[known[first] & known[first + 1]]
-                        keys = part.fingerprints(first, 2)
-                        hit = marked(pair_map, keys)
-                        first, keys = first[hit], keys[hit]
-                        together[first] = True
-                    else:
-                        for i in range(n - 1):
-                            first = first[together[first + i]]
-                        keys = part.fingerprints(first, n)
+            ids = part.word_ids(part.fingerprints(part.grams(1), 1))
+            found = list(_known(part, known))
+            longest = _grown(part, found[-1][0], len(maps) + 1)
+            found.append((longest, part.fingerprints(longest, len(maps) + 1)))
+            for n, (first, keys) in enumerate(found, 1):
                 for pointer, count in pointers(keys, first, ids, n):
                     counts[lang, n, part.phrase(pointer, n)] += count
             if len(counts) > HELD_PHRASES:
@@ -297,10 +303,11 @@ def frequent_phrases(spark: SparkSession, docs: DataFrame, least: int, longest:
     texts, rows, summed = docs.select("lang", "text"), "lang string, key long, n long", F.sum("n").alias("n")
     enough = F.col("n") >= least
     singles = stored(texts.mapInArrow(_words(chunk, bits), rows).groupBy("lang", "key").agg(summed), "collocations-words")
-    words = spark.sparkContext.broadcast(bit_map(singles.where("key IS NOT NULL").where(enough)))
-    couples = texts.mapInArrow(_pairs(chunk, bits, words), rows).groupBy("key").agg(summed)
-    pairs = spark.sparkContext.broadcast(bit_map(couples.where(enough)))
-    found = texts.mapInArrow(_phrases(chunk, bits, longest, words, pairs), "lang string, words int, phrase binary, n long")
+    maps = [spark.sparkContext.broadcast(bit_map(singles.where("key IS NOT NULL").where(enough)))]
+    while len(maps) < longest - 1:
+        counts = texts.mapInArrow(_grams(chunk, bits, list(maps)), rows).groupBy("key").agg(summed)
+        maps.append(spark.sparkContext.broadcast(bit_map(counts.where(enough))))
+    found = texts.mapInArrow(_phrases(chunk, bits, maps), "lang string, words int, phrase binary, n long")
     counted = found.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     phrases = stored(counted.select("lang", "words", F.col("phrase").cast("string").alias("phrase"), "f"), "collocations-phrases")
     return phrases, singles.where("lang IS NOT NULL").select("lang", "n")
@@ -326,6 +333,9 @@ def collocations(
     ).selectExpr("lang", "array_join(slice(w, at, size), ' ') AS phrase", "a AS longer")
     held = inner.groupBy("lang", "phrase").agg(F.max("longer").alias("longer"))
     kept = lowest.join(held, ["lang", "phrase"], "left").where(f"longer IS NULL OR 100 * CAST(longer AS DECIMAL(20, 0)) < {share} * CAST(a AS DECIMAL(20, 0))")
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = kept.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    # the best of each of PARTS parts first, so that one task never gets more than the best of those
+    by_score = F.desc("score"), F.desc("a"), "phrase"
+    part = Window.partitionBy("lang", "part").orderBy(*by_score)
+    few = kept.withColumn("part", F.expr(f"pmod(xxhash64(phrase), {PARTS})")).withColumn("place", F.row_number().over(part)).where(F.col("place") <= top)
+    best = few.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*by_score)).cast("long")).where(F.col("rank") <= top)
     return best.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
