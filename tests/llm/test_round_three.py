@@ -254,3 +254,58 @@ def test_cutting_a_long_text_keeps_pieces_whole():
 def test_very_long_words_are_compared_whole():
     part = phrases.Chunk(b" ".join([b"w" * 100 + b"a", b"w" * 100 + b"b", b"w" * 100 + b"a", b"x"]), "en", phrases.Powers(), 64)
     assert part.word_ids(np.zeros(4, np.uint64)).tolist() == [0, 1, 0, 3]
+
+
+# --- executors without the package ---
+
+_CHILD = """
+import json, os, shutil, sys
+sys.path.insert(0, sys.argv[1])
+from tidemark.llm.queries import queries
+from tidemark.session import build_session
+spark = build_session("away", "local-cluster[1,2,1024]", **{
+    "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2", "spark.checkpoint.dir": sys.argv[2], "spark.executor.memory": "1024m",
+    "spark.ui.showConsoleProgress": "false"})
+spark.sparkContext.setLogLevel("OFF")
+away = spark.range(1).mapInArrow(lambda batches: (batches.__class__, __import__("tidemark"))[0:0] or batches, "id long")
+try:
+    away.count()
+    raise SystemExit("the workers find the package, so this shows nothing")
+except Exception as error:
+    assert "tidemark" in str(error)
+found = queries()
+print(json.dumps({name: found[name](spark, sys.argv[3]).count() for name in sys.argv[4:]}))
+"""
+
+
+def test_queries_run_where_workers_lack_the_package(tmp_path):
+    """Functions travel by value and broadcasts hold plain values, so only the driver needs the package."""
+    import json
+    import os
+    import subprocess
+    import sys
+
+    names = ["op8_url_rules", "op10_toxicity", "op11_simhash_dedup", "op12_importance_resampling", "op13_collocations", "op1_html_text"]
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    child = tmp_path / "child.py"
+    child.write_text(_CHILD)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run(
+        [sys.executable, str(child), root, f"{tmp_path}/shared", "/root/testdata/sf0.001", *names], capture_output=True, text=True, env=env,
+        cwd=tmp_path, timeout=600,
+    )
+    assert done.returncode == 0, done.stderr[-2000:] + done.stdout[-500:]
+    counts = json.loads(done.stdout.strip().splitlines()[-1])
+    assert counts["op10_toxicity"] == counts["op11_simhash_dedup"] == counts["op12_importance_resampling"] > 0 and counts["op8_url_rules"] > 0
+
+
+# --- repeated ids ---
+
+
+def test_rows_of_one_id_are_one_document(spark):
+    from tidemark.llm import minmax_dedup
+
+    a, b, c = (" ".join(words(s, 80)) for s in (71, 72, 73))
+    docs = documents(spark, (5, a), (5, b), (9, b), (4, a), (5, None), (7, c), (6, c), (7, a + " tail"))
+    got = sorted(tuple(r)[::2] for r in minmax_dedup.near_duplicates(docs).collect())
+    assert got == sorted([(5, 4), (5, 4), (9, 4), (4, 4), (5, 5), (7, 4), (6, 4), (7, 4)])

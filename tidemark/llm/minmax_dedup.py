@@ -19,7 +19,7 @@ are already connected, so a large group of near copies costs one pass over its r
 
 Nulls and odd input: a null or blank text has an empty set and is linked with nothing; a text
 with fewer words than a shingle takes is one shingle. Rows with equal ``doc_id`` count as one
-document. A null ``doc_id`` is linked with nothing, its component is null and it is kept.
+document, linked to whatever any of them is; a blank one among them stays apart. A null ``doc_id`` is linked with nothing, its component is null and it is kept.
 """
 
 from __future__ import annotations
@@ -183,6 +183,15 @@ def _confirmed(ids: DataFrame, classes: DataFrame, clusters: DataFrame, size: in
     )
 
 
+def _same_document(usable: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between the classes that rows of one ``doc_id`` are in."""
+    several = usable.groupBy("doc_id").agg(F.min("set_key").alias("low"), F.max("set_key").alias("high")).where("low <> high")
+    several = stored(several.select("doc_id"), "minmax-several")
+    rows = usable.select("doc_id", "set_key").join(small(several), "doc_id", "left_semi").join(classes.select("set_key", "class_id"), "set_key")
+    rows = stored(rows.select("doc_id", "class_id").distinct(), "minmax-rows")
+    return rows.join(rows.groupBy("doc_id").agg(F.min("class_id").alias("b")), "doc_id").where("class_id <> b").selectExpr("class_id AS a", "b")
+
+
 def keep_representatives(docs: DataFrame, size: int = 5, percent: int = 80, rows: int = 4) -> DataFrame:
     """``docs`` without those rows whose group of near duplicates has a smaller ``doc_id``.
 
@@ -216,6 +225,7 @@ def near_duplicates(docs: DataFrame, size: int = 3, percent: int = 85, rows: int
     stars = members.join(buckets, "key").where("class_id <> pivot").selectExpr("class_id AS a", "pivot AS b")
     clusters = stored(connected_components(stars, "minmax-clusters"), "minmax-clusters")
     links = stored(_confirmed(ids, classes, clusters, size, percent), "minmax-links")
+    links = links.unionByName(_same_document(usable, classes))
     components = connected_components(links, "minmax-components").selectExpr("node AS class_id", "component")
     names = classes.selectExpr("set_key", "class_id").join(components, "class_id", "left")
     whole = features.drop("bands").join(names.withColumnRenamed("set_key", "key"), F.expr("set_key = key AND n_shingles > 0"), "left")

@@ -221,6 +221,17 @@ class Model:
         self.landmarks, self.weights = landmarks, root @ weights
         self.slope, self.shift = logistic(self.margin(features), toxic)
 
+    def plain(self) -> tuple:
+        """Values only, as broadcasts are pickled by reference and workers may lack this module."""
+        return self.landmarks.words, self.weights, self.bias, self.slope, self.shift
+
+    @classmethod
+    def of(cls, plain: tuple) -> Model:
+        model = cls.__new__(cls)
+        words, model.weights, model.bias, model.slope, model.shift = plain
+        model.landmarks = Landmarks(words)
+        return model
+
     def margin(self, features: np.ndarray) -> np.ndarray:
         return features.astype(np.float64) @ self.weights + self.bias
 
@@ -309,7 +320,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
 
 def _scorer(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model.of(shared.value) if shared.value else None
         reader = Reader(model.landmarks) if model else None
         for batch in slices(batches):
             texts = batch.column("text").to_pylist()
@@ -318,9 +329,14 @@ def _scorer(shared):
     return run
 
 
+def _shared(docs: DataFrame, labels: DataFrame):
+    model = train(docs, labels)
+    return docs.sparkSession.sparkContext.broadcast(model.plain() if model else None)
+
+
 def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted (1 at ``THRESHOLD`` or more) per row of ``docs``."""
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+    model = _shared(docs, labels)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = texts.mapInArrow(_scorer(model), "doc_id long, text string, score double")
     return rows.select("doc_id", F.coalesce(F.expr(HELD_OUT), F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
@@ -328,7 +344,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the rows whose text is predicted toxic."""
-    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels))
+    model = _shared(docs, labels)
     names = [f"_{i}" if n != "text" else "text" for i, n in enumerate(docs.columns)]
     schema = ", ".join(f"{n} {kind}" for n, (_, kind) in zip(names, docs.dtypes)) + ", score double"
     rows = docs.toDF(*names).mapInArrow(_scorer(model), schema).where(F.col("score") < THRESHOLD)

@@ -11,6 +11,7 @@ rules decide: any blocking pattern that matches gives ``block``, else the url is
 The host is what follows the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z in lower
 case, the path what follows up to ``?``, ``#`` or the end. A null url, or one without ``://``,
 has an empty host and path and is allowed. Rules equal in length are taken in the order given.
+Repeated rows are judged each; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -98,7 +99,7 @@ class Index:
 
 def _judge(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(shared.value)
+        index = Index(tuple(Rule(*rule) for rule in shared.value))
         for batch in batches:
             found = [index.judged(h, p) for h, p in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist())]
             rules, verdicts = pa.array([r for r, _ in found], pa.string()), pa.array([v for _, v in found], pa.string())
@@ -116,7 +117,7 @@ def path_of(url: Column) -> Column:
 
 def judged(pages: DataFrame, rules: tuple[Rule, ...] = HOST_RULES + PATTERN_RULES) -> DataFrame:
     """page_id, host, path, rule and verdict per page. ``rules`` is a list the user writes."""
-    shared = pages.sparkSession.sparkContext.broadcast(tuple(rules))
+    shared = pages.sparkSession.sparkContext.broadcast([tuple(rule) for rule in rules])  # plain values: workers may lack this module
     url = F.col("url").cast("string")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"))
     return rows.mapInArrow(_judge(shared), "page_id long, host string, path string, rule string, verdict string")
