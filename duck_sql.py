@@ -300,6 +300,33 @@ _QUERIES: dict[str, str] = {
             )
             WINDOW past AS (PARTITION BY metric ORDER BY date RANGE BETWEEN INTERVAL 14 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING)
         )""",
+    "change_points": f"""
+        SELECT {_DAY} AS date, metric, round(value, 6) AS value, round(mean, 6) AS mean, round(rise, 6) AS rise, round(fall, 6) AS fall,
+               CASE WHEN rise > 5 THEN 'rise' WHEN fall > 5 THEN 'fall' END AS change
+        FROM (
+            SELECT *, rise_sum - least(0::DOUBLE, min(rise_sum) OVER past) AS rise, fall_sum - least(0::DOUBLE, min(fall_sum) OVER past) AS fall
+            FROM (
+                SELECT *, coalesce(sum(score - 0.5::DOUBLE) OVER past, 0::DOUBLE) AS rise_sum,
+                       coalesce(sum(-score - 0.5::DOUBLE) OVER past, 0::DOUBLE) AS fall_sum
+                FROM (
+                    SELECT *, CASE WHEN day > 7 THEN coalesce((value - mean) / nullif(greatest(coalesce(deviation, 0), abs(mean) * 0.05::DOUBLE), 0), 0)
+                              END AS score
+                    FROM (
+                        SELECT *, avg(value) FILTER (WHERE day <= 7) OVER (PARTITION BY metric) AS mean,
+                               stddev_samp(value) FILTER (WHERE day <= 7) OVER (PARTITION BY metric) AS deviation
+                        FROM (
+                            SELECT *, row_number() OVER (PARTITION BY metric ORDER BY date) AS day
+                            FROM (
+                                SELECT date, 'conversion_rate' AS metric, conversion_rate AS value FROM metrics_full
+                                UNION ALL SELECT date, 'campaign_id_null_pct', campaign_id_null_pct FROM metrics_full
+                            ) WHERE value IS NOT NULL
+                        )
+                    )
+                )
+                WINDOW past AS (PARTITION BY metric ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+            )
+            WINDOW past AS (PARTITION BY metric ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+        )""",
     "trust_score_today": f"""
         SELECT {_DAY} AS date_label, round(
                    (100 - least(detected_tdq_bdq_anomalies_count / applications_count * 100, 100::DOUBLE)) * 0.4::DOUBLE
@@ -392,6 +419,10 @@ _QUERIES: dict[str, str] = {
 }
 
 
+_QUERIES["ledger_counts"] = _QUERIES["landed_counts"]
+_QUERIES["landed_daily_metrics"] = _QUERIES["landed_stream_daily_metrics"] = _QUERIES["daily_metrics_full"]
+
+
 def _needed(sql: str) -> list[str]:
     """Views that ``sql`` uses, directly or through others, in definition order."""
     used, texts = set(), [sql]

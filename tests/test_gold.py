@@ -7,7 +7,7 @@ from helpers import rows, table, ts
 from pyspark.sql import functions as F
 
 from tidemark import contracts as C
-from tidemark.operators.anomalies import app_anomalies_daily, volume_outliers
+from tidemark.operators.anomalies import app_anomalies_daily, change_points, volume_outliers
 from tidemark.operators.joins import heavy_keys, inner_join, orphans_by_edge
 from tidemark.plans import gold, silver
 from tidemark.plans.metrics import Bronze, bronze_facts, gold_daily_metrics
@@ -153,3 +153,35 @@ def test_volume_outlier_is_found(spark):
     assert rows(flagged, "date", "metric", "history") == [(date(2024, 1, 21), "total_visits", 14)]
     early = volume_outliers(df).filter("date < DATE '2024-01-08' AND z_score IS NOT NULL")
     assert early.count() == 0
+
+
+def test_slow_shifts_are_found_and_noise_is_not(spark):
+    """A conversion drop and a burst of nulls, each too small for a single day to stand out."""
+    noise = [0, 1, -1, 2, -2, 1, -1, 0, 1, -1]
+
+    def day(i):
+        late = i >= 15
+        return (date(2024, 1, 1 + i), 0.20 + noise[i % 10] * 0.01 - 0.02 * late, None if i == 3 else 5.0 + noise[i % 10] * 0.5 + 1.2 * late, 0.5 + noise[i % 10] * 0.01)
+
+    df = spark.createDataFrame([day(i) for i in range(30)], "date date, conversion_rate double, campaign_id_null_pct double, approval_rate double")
+    columns = ["conversion_rate", "campaign_id_null_pct", "approval_rate"]
+    got = change_points(df, columns).collect()
+    found = {m: [r for r in got if r.metric == m and r.change] for m in columns}
+    assert {r.change for r in found["conversion_rate"]} == {"fall"} and {r.change for r in found["campaign_id_null_pct"]} == {"rise"}
+    assert all(rs[0].date > date(2024, 1, 15) for rs in (found["conversion_rate"], found["campaign_id_null_pct"])) and not found["approval_rate"]
+    assert sum(r.metric == "campaign_id_null_pct" for r in got) == 29
+    for metric in columns:  # the sums as a loop gives them
+        values = [(r.date, r.value) for r in sorted((r for r in got if r.metric == metric), key=lambda r: r.date)]
+        base = [v for _, v in values[:7]]
+        mean = sum(base) / 7
+        spread = max((sum((v - mean) ** 2 for v in base) / 6) ** 0.5, 0.05 * mean)
+        rise = fall = 0.0
+        want = []
+        for i, (d, v) in enumerate(values):
+            if i >= 7:
+                z = (v - mean) / spread
+                rise, fall = max(0.0, rise + z - 0.5), max(0.0, fall - z - 0.5)
+            want.append((d, pytest.approx(rise, abs=1e-9), pytest.approx(fall, abs=1e-9)))
+        assert [(r.date, r.rise, r.fall) for r in sorted((r for r in got if r.metric == metric), key=lambda r: r.date)] == want
+    flat = spark.createDataFrame([(date(2024, 1, 1 + i), 0.0) for i in range(9)], "date date, conversion_rate double")
+    assert {(r.rise, r.fall, r.change) for r in change_points(flat, ["conversion_rate"]).collect()} == {(0.0, 0.0, None)}

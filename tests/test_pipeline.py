@@ -9,6 +9,7 @@ from tidemark.plans import reports
 from tidemark.plans.pipeline import Config, Pipeline
 from tidemark.sources import sample
 from tidemark.sources.landing import land
+from tidemark.sources.tables import register_table
 from tidemark.streaming.sinks import observed_totals
 
 TABLES = ["silver_visitor_events", "silver_applications", "silver_accounts", "silver_transactions", "gold_applications",
@@ -42,21 +43,21 @@ def _config(landing, root, **kw):
 
 def test_stream_in_two_runs_equals_batch(spark, landing, tmp_path):
     folder, small = landing
-    stream = Pipeline(spark, _config(folder, tmp_path / "stream", salts=3))
+    stream = Pipeline(spark, _config(folder, tmp_path / "stream"))
     stream.run_stream()
     first = stream.table("gold_daily_metrics").agg(F.max("date")).first()[0]
     assert first.isoformat() == "2024-01-14"
     assert stream.stale_days() == []
-    _a_rebuild_on_the_same_root_leaves_the_stream_alone(spark, _config(folder, tmp_path / "stream", salts=1))
+    _a_rebuild_on_the_same_root_leaves_the_stream_alone(spark, _config(folder, tmp_path / "stream"))
     for entity, df in _entities(spark, small).items():
         moment = C.event_time(entity)
         land(df.filter(f"{moment} >= '2024-01-15'"), f"{folder}/{entity}", "20240115_live", moment)
-    stream = Pipeline(spark, _config(folder, tmp_path / "stream", salts=3))
+    stream = Pipeline(spark, _config(folder, tmp_path / "stream"))
     stream.run_stream()
     assert stream.stale_days() == []
     counted = observed_totals(stream.queries["silver_accounts"], "silver_accounts")
 
-    batch = Pipeline(spark, _config(folder, tmp_path / "batch", salts=2))
+    batch = Pipeline(spark, _config(folder, tmp_path / "batch"))
     assert batch.stale_days() is None
     batch.run_batch()
     assert batch.stale_days() == []
@@ -85,6 +86,15 @@ def test_stream_in_two_runs_equals_batch(spark, landing, tmp_path):
     assert rows(batch.table("gold_daily_metrics"), "date", "total_visits", "detected_tdq_bdq_anomalies_count") == before
     assert reports.trust_score_today(batch.table("gold_daily_metrics"), sample.AS_OF).count() == 1
     _sql_users_find_their_tables(spark, batch)
+    for pipeline in (batch, stream):
+        _published_tables_lie_over_the_stored_folders(spark, pipeline, tmp_path)
+        # what waits is what an anti join finds, in either mode
+        lone = pipeline.table("silver_transactions").join(pipeline.table("silver_accounts"), "account_id", "left_anti")
+        assert rows(pipeline.waiting("gold_transaction_features"), "txn_id") == rows(lone, "txn_id") and lone.count() > 0
+        lone = pipeline.table("silver_accounts").join(pipeline.table("gold_applications"), "app_id", "left_anti")
+        assert rows(pipeline.waiting("gold_accounts"), "account_id") == rows(lone, "account_id") and lone.count() > 0
+    landed = {e: batch.store.read(f"bronze_{e}").count() for e in C.ENTITIES}
+    assert dict(rows(batch.ledger.counts(), "table", "rows")) == landed
     _one_more_row_makes_one_day_stale(batch, tmp_path / "batch/batch/tables")
 
 
@@ -117,6 +127,27 @@ def _one_more_row_makes_one_day_stale(batch, tables):
     assert after == {**visits, stale[0]: visits[stale[0]] + 1} and batch.stale_days() == []
 
 
+def _published_tables_lie_over_the_stored_folders(spark, pipeline, root):
+    def files():
+        return sorted(p for p in root.rglob("*.parquet"))
+
+    before = files()
+    for _ in range(2):  # again after a run: replaced
+        for view in C.VIEWS:
+            pipeline.publish(view)
+    for view, (name, tier, _) in C.VIEWS.items():
+        shown = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED default.{view}").collect()}
+        assert f"quality={tier}" in shown["Table Properties"] and shown["Comment"] and shown["Type"] == "EXTERNAL"
+        table = pipeline.table(name)
+        assert rows(spark.table(f"default.{view}"), *table.columns) == rows(table), view
+        spark.sql(f"DROP TABLE default.{view}")
+    assert files() == before
+    spark.range(1).write.mode("overwrite").saveAsTable("default.owned")
+    with pytest.raises(ValueError, match="drop it first"):
+        register_table(spark, "default.owned", str(root), spark.range(1).schema)
+    spark.sql("DROP TABLE default.owned")
+
+
 def _sql_users_find_their_tables(spark, batch):
     """SQL over the registered views gives what the report functions give."""
     batch.register_views()
@@ -138,8 +169,3 @@ def _sql_users_find_their_tables(spark, batch):
     assert rows(twice) == rows(reports.duplicate_app_ids(apps))
     for view in C.VIEWS:
         assert spark.table(view).columns
-    spark.sql("DROP TABLE IF EXISTS default.gold_app_ml_anomaly_agg")
-    batch.publish("gold_app_ml_anomaly_agg")
-    shown = {r[0]: r[1] for r in spark.sql("DESCRIBE TABLE EXTENDED default.gold_app_ml_anomaly_agg").collect()}
-    assert "quality=gold" in shown["Table Properties"] and shown["Comment"]
-    spark.sql("DROP TABLE default.gold_app_ml_anomaly_agg")

@@ -3,16 +3,18 @@
 from datetime import date
 
 import pytest
-from helpers import rows, table, ts
+from helpers import ACCOUNTS, TXNS, rows, table, ts
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark import contracts as C
 from tidemark.operators.anomalies import app_anomalies_daily
 from tidemark.plans import gold, silver
-from tidemark.session import STREAM_SETTINGS, scratch_dir, settings
+from tidemark.session import scratch_dir, settings
 from tidemark.sources.drift import check_drift, widened
 from tidemark.sources.landing import bronze_stream, land
-from tidemark.streaming.sinks import count_rules, latest, observed_totals, per_batch, read_batches
+from tidemark.streaming.delta import MAP_CELLS, DeltaJoin, delta_join, key_map, may_match
+from tidemark.streaming.sinks import count_rules, latest, observed_totals, per_batch, read_batches, rule_totals
 
 GOLD_APPS = "timestamp timestamp, req_income_ratio double"
 
@@ -111,41 +113,80 @@ def test_static_side_is_seen_only_when_read_again(spark, tmp_path):
     assert rows(read_batches(spark, f"{tmp_path}/again"), "app_id") == [("late",)]
 
 
-@pytest.mark.parametrize("options", [{}, {"salts": 4}, {"bound_days": 5, "delay": "1 hours"}], ids=["plain", "salted", "bounded"])
-def test_stream_join_equals_batch(spark, tmp_path, options):
-    moments = [f"2024-01-{d:02d} 12:00:00" for d in range(1, 13)]
-    for i, moment in enumerate(moments):
-        acc = _stage(spark, tmp_path, "accounts", str(i), {"account_id": f"c{i}", "account_open_timestamp": ts(moment)})
-        txn = _stage(spark, tmp_path, "txns", str(i), *({"txn_id": f"{i}-{j}", "account_id": f"c{i - i % 4}", "timestamp": ts(moment)} for j in range(3)))
-    accounts = spark.read.schema(acc).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/accounts")
-    txns = spark.read.schema(txn).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/txns")
-    batch = gold.gold_transaction_features(silver.silver_transactions(txns), silver.silver_accounts(accounts), **options)
-    stream = gold.gold_transaction_features(
-        silver.silver_transactions(_source(spark, tmp_path, "txns", txn)),
-        silver.silver_accounts(_source(spark, tmp_path, "accounts", acc)), **options)
-    with settings(spark, STREAM_SETTINGS):
-        per_batch(stream, f"{tmp_path}/out", f"{tmp_path}/c").awaitTermination()
-    got = rows(read_batches(spark, f"{tmp_path}/out"), "txn_id", "txn_limit_ratio")
-    assert len(got) == 36 and got == rows(batch, "txn_id", "txn_limit_ratio")
-
-
-def test_bounded_join_lets_state_go(spark, tmp_path):
-    sizes = {}
-    for name, bound in (("open", None), ("bounded", 1)):
-        folder = tmp_path / name
-        for i in range(1, 7):
-            day = ts(f"2024-01-{4 * i:02d} 12:00:00")
-            acc = _stage(spark, folder, "accounts", str(i), {"account_id": f"c{i}", "account_open_timestamp": day})
-            txn = _stage(spark, folder, "txns", str(i), {"txn_id": str(i), "account_id": f"c{i}", "timestamp": day})
-        one = {"maxFilesPerTrigger": 1, "recursiveFileLookup": True}
-        txns = spark.readStream.schema(txn).options(**one).parquet(f"{folder}/txns")
-        accounts = spark.readStream.schema(acc).options(**one).parquet(f"{folder}/accounts")
-        joined = gold.gold_transaction_features(silver.silver_transactions(txns), silver.silver_accounts(accounts), bound_days=bound)
-        query = per_batch(joined, f"{folder}/out", f"{folder}/c")
+def _joined(spark, folder):
+    """One run of the join over what has landed, file by file."""
+    def stream(kind, schema):
+        raw = spark.readStream.schema(schema).options(maxFilesPerTrigger=1, recursiveFileLookup=True).parquet(f"{folder}/{kind}")
+        return silver.silver_transactions(raw) if kind == "txns" else silver.silver_accounts(raw)
+
+    return delta_join(
+        stream("txns", TXNS).drop("tdq_processed_at"), stream("accounts", ACCOUNTS).select("account_id", "approved_limit", "account_open_timestamp"),
+        "account_id", gold.gold_transaction_features, f"{folder}/out", f"{folder}/joined", f"{folder}/c")
+
+
+def _batch_features(spark, folder):
+    accounts = spark.read.schema(ACCOUNTS).option("recursiveFileLookup", "true").parquet(f"{folder}/accounts")
+    txns = spark.read.schema(TXNS).option("recursiveFileLookup", "true").parquet(f"{folder}/txns")
+    return gold.gold_transaction_features(silver.silver_transactions(txns), silver.silver_accounts(accounts))
+
+
+@pytest.mark.parametrize("late", ["txns", "accounts", None])
+def test_stream_join_equals_batch_in_any_order(spark, tmp_path, late):
+    """Keys meet within a batch, across batches in either order, twice on either side, and never."""
+    for kind in ("txns", "accounts"):
+        _stage(spark, tmp_path, kind, "none", {})
+    changes = {
+        "accounts": [[{"account_id": f"c{i % 3}", "approved_limit": 100 + i}, {"account_id": f"alone{i}"}, {"account_id": None}] for i in range(4)],
+        "txns": [[{"txn_id": f"{i}-{j}", "account_id": f"c{j}"} for j in range(7)] + [{"txn_id": f"n{i}", "account_id": None}] for i in range(4)],
+    }
+    first, second = [k for k in changes if k != late], [late] if late else []
+    if late is None:
+        first = []
+        for i in range(4):
+            for kind in changes:
+                _stage(spark, tmp_path, kind, str(i), *changes[kind][i])
+    for kinds in (first, second):
+        for kind in kinds:
+            for i, rows_ in enumerate(changes[kind]):
+                _stage(spark, tmp_path, kind, str(i), *rows_)
+        query = _joined(spark, tmp_path)
         query.awaitTermination()
-        assert read_batches(spark, f"{folder}/out").count() == 6
-        sizes[name] = query.lastProgress.stateOperators[0].numRowsTotal
-    assert sizes["open"] == 12 and sizes["bounded"] < 6
+        assert query.exception() is None
+        assert all(not p.stateOperators for p in query.recentProgress)
+    got = rows(read_batches(spark, f"{tmp_path}/out"), "txn_id", "approved_limit")
+    want = rows(_batch_features(spark, tmp_path), "txn_id", "approved_limit")
+    assert got == want and len(want) > 10
+
+
+def test_a_join_batch_run_again_adds_nothing(spark, tmp_path):
+    work = DeltaJoin(spark, f"{tmp_path}/s", "k", lambda a, b: a.join(b, "k"), T.StructType().add("k", "long").add("l", "long"),
+                     T.StructType().add("k", "long").add("r", "long"))
+
+    def batch(left, right):
+        data = [({"k": k, "l": v}, None, "left") for k, v in left] + [(None, {"k": k, "r": v}, "right") for k, v in right]
+        return spark.createDataFrame(data, work.schema)
+
+    def step(n, left, right):
+        return rows(work.step(batch(left, right), n), "k", "l", "r")
+
+    assert step(0, [(1, 10), (2, 20), (None, 0)], [(2, 5)]) == [(2, 20, 5)]
+    for _ in range(2):
+        assert step(1, [(1, 11)], [(1, 6), (2, 7)]) == [(1, 10, 6), (1, 11, 6), (2, 20, 7)]
+    assert step(2, [], []) == []
+    assert step(3, [(3, 30)], []) == []
+    assert rows(work.waiting(), "l") == [(0,), (30,)]
+    assert step(4, [], [(3, 8), (3, 9)]) == [(3, 30, 8), (3, 30, 9)]
+    assert rows(work.waiting(), "l") == [(0,)]
+
+
+def test_stored_rows_are_cut_down_before_the_shuffle(spark):
+    stored = spark.range(100_000).selectExpr("string(id) AS k")
+    new = spark.range(0, 100_000, 1000).selectExpr("string(id) AS k")
+    kept = may_match(stored, "k", key_map(new, "k"))
+    assert kept.columns == ["k"] and kept.join(new, "k", "left_semi").count() == 100 <= kept.count() < 200
+    assert may_match(stored, "k", key_map(new.limit(0), "k")).count() == 0
+    few = key_map(spark.range(3_000_000).selectExpr("id AS k"), "k")
+    assert few.count() <= MAP_CELLS
 
 
 def test_rule_counters_ride_along(spark, tmp_path):
@@ -158,6 +199,33 @@ def test_rule_counters_ride_along(spark, tmp_path):
     assert read_batches(spark, f"{tmp_path}/out").count() == 1
 
 
+def test_rule_totals_outlast_the_progress_reports(spark, tmp_path):
+    """More batches than Spark keeps reports of, one of them run twice."""
+    n = 9
+    for i in range(n):
+        schema = _stage(spark, tmp_path, "apps", str(i), {}, {"applicant_age": 101}, {"applicant_age": None, "annual_income": 0.0})
+    source = spark.readStream.schema(schema).options(maxFilesPerTrigger=1, recursiveFileLookup=True).parquet(f"{tmp_path}/apps")
+    broken = [True]
+
+    def step(batch):
+        if len(list(tmp_path.glob("out/batch_id=*"))) == 4 and broken:
+            broken.clear()
+            batch.write.mode("overwrite").parquet(f"{tmp_path}/out/batch_id=4")
+            raise RuntimeError("lost")
+        return silver.silver_applications(batch)
+
+    with settings(spark, {"spark.sql.streaming.numRecentProgressUpdates": "3"}):
+        def run():
+            query = per_batch(source, f"{tmp_path}/out", f"{tmp_path}/c", step, rules=silver.APPLICATION_RULES)
+            query.awaitTermination()
+        with pytest.raises(Exception, match="lost"):
+            run()
+        run()
+    totals = dict(rows(rule_totals(spark, f"{tmp_path}/out"), "name", "rows"))
+    assert (totals["checked_rows"], totals["tdq_age_numeric_range"], totals["tdq_income_positive"], totals["tdq_app_id_not_null"]) == (3 * n, 2 * n, n, 0)
+    assert read_batches(spark, f"{tmp_path}/out").count() == n
+
+
 def test_new_column_after_restart_with_a_wider_contract(spark, tmp_path):
     old = table(spark, "apps", {"app_id": "old"}).select(*C.contract("applications").names)
     assert land(old, f"{tmp_path}/applications", "hist", "timestamp")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark import contracts as C
@@ -67,3 +69,35 @@ def volume_outliers(metrics: DataFrame, history_days: int = 14, z_limit: float =
     return scored.withColumn("z_score", F.when(enough, z)).withColumn(
         "is_outlier", F.coalesce(F.abs("z_score") > z_limit, F.lit(False)).cast("int")
     )
+
+
+def change_points(
+    metrics: DataFrame, columns: Sequence[str] = ("conversion_rate", "campaign_id_null_pct"),
+    baseline: int = 7, slack: float = 0.5, limit: float = 5.0, least_spread: float = 0.05,
+) -> DataFrame:
+    """Slow shifts of a daily rate, by two cumulative sums (CUSUM) of its distance from a baseline.
+
+    The first ``baseline`` days with a value set mean and spread; the spread counts as
+    at least ``least_spread`` of the mean. From then on the sums ``rise`` and ``fall`` add up
+    each day's standard score less ``slack``, never below zero; above ``limit`` the day is
+    flagged. A small lasting shift adds up where a single day's score stays inconspicuous.
+
+    A sum that may not fall below zero is the plain running sum less its lowest value so far,
+    so windows express it. Days without a value are left out. A window holds a row per day.
+    """
+    values = metrics.unpivot("date", [F.col(c).cast("double").alias(c) for c in columns], "metric", "value").filter("value IS NOT NULL")
+    days = Window.partitionBy("metric").orderBy("date")
+    past, whole = days.rowsBetween(Window.unboundedPreceding, 0), Window.partitionBy("metric")
+    first = F.when(F.col("day") <= baseline, F.col("value"))
+    scored = values.withColumn("day", F.row_number().over(days)).select(
+        "date", "metric", "value", "day", F.avg(first).over(whole).alias("mean"), F.stddev_samp(first).over(whole).alias("deviation")
+    )
+    spread = F.greatest(F.coalesce("deviation", F.lit(0.0)), F.abs("mean") * least_spread)
+    score = F.when(F.col("day") > baseline, F.coalesce(ratio(F.col("value") - F.col("mean"), spread), F.lit(0.0)))
+    scored = scored.withColumn("score", score)
+    for name, step in (("rise", F.col("score") - slack), ("fall", -F.col("score") - slack)):
+        scored = scored.withColumn(f"{name}_sum", F.coalesce(F.sum(step).over(past), F.lit(0.0)))
+    for name in ("rise", "fall"):
+        scored = scored.withColumn(name, F.col(f"{name}_sum") - F.least(F.lit(0.0), F.min(f"{name}_sum").over(past)))
+    change = F.when(F.col("rise") > limit, "rise").when(F.col("fall") > limit, "fall")
+    return scored.select("date", "metric", "value", "mean", "rise", "fall", change.alias("change"))

@@ -31,8 +31,8 @@ def inner_join(
 ) -> DataFrame:
     """Inner equi join on ``key``; with ``salts > 1`` a key's left rows spread over that many tasks.
 
-    In batch AQE already splits an oversized join partition, so ``salts`` stays 1. A
-    stateful stream has no AQE: there salting keeps one key from owning one state store.
+    AQE already splits an oversized join partition, so ``salts`` mostly stays 1; it is for joins
+    whose result must stay dealt by key and for sessions without AQE.
     ``hot`` limits the salting to known keys, so only their right rows are copied. The
     salt is a hash of ``spread_by``, thus the same again when a lost task is re-run.
     """

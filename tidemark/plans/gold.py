@@ -33,7 +33,7 @@ def gold_applications(silver_applications: DataFrame) -> DataFrame:
 def gold_accounts(silver_accounts: DataFrame, gold_apps: DataFrame, keep_all: bool = False, salts: int = 1) -> DataFrame:
     """Accounts whose application is in the validated set and approved.
 
-    Works as batch join and, with a streaming left side, as stream-static join.
+    In a stream it is a step of ``streaming.delta``, so an account may come before its application.
     """
     approved = gold_apps.filter("application_status = 'approved'").select(
         "app_id", "applicant_age", "annual_income", "req_credit_limit"
@@ -58,22 +58,17 @@ def gold_transaction_features(
     cap: float = C.AMOUNT_TO_LIMIT_CAP,
     keep_all: bool = False,
     bound_days: int | None = None,
-    delay: str = C.WATERMARK_DELAY,
     salts: int = 1,
     hot: Sequence | None = None,
 ) -> DataFrame:
     """Transactions with the limit of their account, below the amount cap.
 
-    ``bound_days`` keeps only transactions from account opening to that many days after.
-    On streams it also sets a watermark on both sides, so that join state ends; without
-    it the state of a stream-stream join is kept for good.
+    ``bound_days`` keeps only transactions from account opening to that many days after. In a
+    stream this is a step of ``streaming.delta``, which needs no such bound and no state.
     """
     accounts = silver_accounts.select("account_id", "approved_limit", "account_open_timestamp")
     if bound_days is None:
         accounts = accounts.drop("account_open_timestamp")
-    elif silver_txn.isStreaming:
-        silver_txn = silver_txn.withWatermark("timestamp", delay)
-        accounts = accounts.withWatermark("account_open_timestamp", delay)
     joined = inner_join(silver_txn, accounts, "account_id", salts, "txn_id", hot)
     if bound_days is not None:
         joined = joined.filter(

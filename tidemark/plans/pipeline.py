@@ -13,16 +13,17 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark import contracts as C
 from tidemark.functions import event_day
 from tidemark.operators.anomalies import app_anomalies_daily, txn_anomalies_daily
-from tidemark.operators.joins import heavy_keys
 from tidemark.operators.quality import quality_log, union_logs
 from tidemark.operators.rules import mark_failures
 from tidemark.plans.gold import BUSINESS_RULES, gold_accounts, gold_transaction_features, with_income_ratio
 from tidemark.plans.metrics import Bronze, bronze_facts, gold_daily_metrics
 from tidemark.plans.silver import checked, technical_rules
-from tidemark.session import STREAM_SALTS, settings, stream_settings
+from tidemark.session import settings, stream_settings
 from tidemark.sources.landing import bronze
-from tidemark.sources.tables import OUTCOME, TableStore, materialize, with_outcome
-from tidemark.streaming.sinks import BATCH, count_rules, per_batch
+from tidemark.sources.ledger import FileLedger
+from tidemark.sources.tables import CLEAN, OUTCOME, TableStore, register_table, with_outcome
+from tidemark.streaming.delta import DeltaJoin, delta_join
+from tidemark.streaming.sinks import BATCH, count_rules
 
 
 BATCH_MODE, STREAM_MODE = "batch", "stream"
@@ -33,6 +34,9 @@ _SCHEMAS = {
     "gold_txn_ml_anomaly_agg": "txn_anomalies_count bigint, date date",
 }
 
+# Tables without folders by day.
+_UNDATED = ("gold_accounts",)
+
 
 @dataclass(frozen=True)
 class Config:
@@ -49,9 +53,6 @@ class Config:
     app_threshold: float = C.APP_ANOMALY_RATIO
     txn_threshold: float = C.TXN_ANOMALY_RATIO
     amount_cap: float = C.AMOUNT_TO_LIMIT_CAP
-    delay: str = C.WATERMARK_DELAY      # with bound_days: must cover the disorder of the feed
-    bound_days: int | None = None       # ends the state of the transaction join
-    salts: int = STREAM_SALTS           # tasks a hot account is spread over; fixed for a stream's life
     max_files: int | None = None        # per micro-batch
     load_ts: str | None = None          # SQL for the ingest stamp, for repeatable runs
 
@@ -66,6 +67,7 @@ class Pipeline:
         if self.spark.conf.get("spark.sql.session.timeZone") != "UTC":
             raise ValueError("the session time zone must be UTC: day windows and dates would differ")
         self._current = TableStore(self.spark, self.config.root)
+        self.ledger = FileLedger(self.spark, self._current.path("landed_files"))
         self._use(self._finished_mode() or BATCH_MODE)
         self.as_of = self.config.as_of or datetime.now(timezone.utc).replace(tzinfo=None)
 
@@ -110,23 +112,15 @@ class Pipeline:
         stamp = F.col("_metadata.file_modification_time") if self.config.load_ts is None else F.expr(
             self.config.load_ts.format(event_time=C.event_time(entity))
         )
-        raw = bronze(self.spark, self.config.landing, entity, streaming, self.config.max_files, stamp)
+        raw = bronze(self.spark, self.config.landing, entity, streaming, self.config.max_files, stamp, self.ledger)
         return raw.withColumn("date", event_day(C.event_time(entity)))
 
     @staticmethod
     def _gold_apps(silver_apps: DataFrame) -> DataFrame:
         return with_outcome(with_income_ratio(mark_failures(silver_apps, BUSINESS_RULES)))
 
-    def _gold_txn(self, transactions: DataFrame, accounts: DataFrame, hot=None) -> DataFrame:
-        joined = gold_transaction_features(
-            transactions,
-            accounts,
-            cap=self.config.amount_cap,
-            bound_days=self.config.bound_days,
-            delay=self.config.delay,
-            salts=self.config.salts,
-            hot=hot,
-        )
+    def _gold_txn(self, transactions: DataFrame, accounts: DataFrame) -> DataFrame:
+        joined = gold_transaction_features(transactions, accounts, cap=self.config.amount_cap)
         return joined.withColumn("date", event_day("timestamp"))
 
     def table(self, name: str) -> DataFrame:
@@ -144,9 +138,17 @@ class Pipeline:
             self.table(name).createOrReplaceTempView(view)
 
     def publish(self, view: str, database: str = "default") -> None:
-        """Save a table under its SQL name to the catalog, with remark and quality tier."""
+        """Put a table under its SQL name into the catalog, with remark and quality tier; no data is written.
+
+        The catalog table lies over the stored folder, of checked tables over that of the
+        accepted rows. Publish again after a run that added days or columns, or ran in the other mode.
+        """
         name, tier, remark = C.VIEWS[view]
-        materialize(self.table(name), f"{database}.{view}", remark, {"quality": tier})
+        stored = self.store.read(name, _SCHEMAS.get(name))
+        folder = self.store.path(name) + (f"/{OUTCOME}={CLEAN}" if OUTCOME in stored.columns else "")
+        layout = [c for c in (BATCH, "date") if c in stored.columns and (c != "date" or name not in _UNDATED)]
+        columns = (self.store.clean(stored) if OUTCOME in stored.columns else stored).schema
+        register_table(self.spark, f"{database}.{view}", folder, columns, layout, remark, {"quality": tier})
 
     # --- runs ---
 
@@ -163,9 +165,7 @@ class Pipeline:
             write(with_outcome(rows), f"silver_{entity}", (OUTCOME, "date"))
         write(self._gold_apps(read("silver_applications")), "gold_applications", (OUTCOME, "date"))
         write(gold_accounts(read("silver_accounts"), read("gold_applications")), "gold_accounts")
-        transactions = read("silver_transactions")
-        hot = heavy_keys(transactions, "account_id") if self.config.salts > 1 else None
-        features = self._gold_txn(transactions, read("silver_accounts"), hot)
+        features = self._gold_txn(read("silver_transactions"), read("silver_accounts"))
         write(features, "gold_transaction_features", ("date",), balance=True)
         self.refresh_metrics()
 
@@ -187,22 +187,36 @@ class Pipeline:
             counted = count_rules(raw, self._rules(entity), f"silver_{entity}")
             rows = with_outcome(checked(entity, counted, self._rules(entity)))
             silver[entity] = self.store.clean(self._stream(f"silver_{entity}", rows, (OUTCOME, "date")))
-        self._stream("gold_applications", self._gold_apps(silver["applications"]), (OUTCOME, "date"))
-        self._finish(
-            "gold_accounts",
-            per_batch(
-                silver["accounts"],
-                self.store.path("gold_accounts"),
-                self.store.checkpoint("gold_accounts"),
-                self._accounts_of_batch,
-                name="gold_accounts",
-            ),
-        )
-        self._stream("gold_transaction_features", self._gold_txn(silver["transactions"], silver["accounts"]), ("date",))
-
-    def _accounts_of_batch(self, batch: DataFrame) -> DataFrame:
-        """Join a micro-batch of accounts to all applications validated so far."""
-        return gold_accounts(batch, self.table("gold_applications"))
+        apps = self._stream("gold_applications", self._gold_apps(silver["applications"]), (OUTCOME, "date"))
+        for name, (left, right, columns, key, join) in self._joins().items():
+            sides = silver[left], self.store.clean(apps) if right == "gold_applications" else silver[right]
+            sides = [df.select(*wanted) for df, wanted in zip(sides, columns)]
+            places = self.store.path(name), self.store.joined(name), self.store.checkpoint(name)
+            self._finish(name, delta_join(*sides, key, join, *places, name, () if name in _UNDATED else ("date",)))
+
+    def _joins(self) -> dict[str, tuple]:
+        """Left and right table, the columns taken of each, key and join of the two gold joins."""
+        account = "account_id", "app_id", "approved_limit", "interest_rate", "account_open_timestamp"
+        application = "app_id", "applicant_age", "annual_income", "req_credit_limit", "application_status"
+        transaction = "txn_id", "account_id", "amount", "timestamp", "location"
+        limit = "account_id", "approved_limit", "account_open_timestamp"
+        return {
+            "gold_accounts": ("accounts", "gold_applications", (account, application), "app_id", gold_accounts),
+            "gold_transaction_features": ("transactions", "accounts", (transaction, limit), "account_id", self._gold_txn),
+        }
+
+    def waiting(self, name: str) -> DataFrame:
+        """Rows of a joined gold table's left side that wait for their other side.
+
+        Accounts without an application among the valid ones, transactions without an account. The
+        stream tries them again whenever their key comes in; after a rebuild they are found anew.
+        """
+        left, right, columns, key, join = self._joins()[name]
+        right = right if right == "gold_applications" else f"silver_{right}"
+        sides = [self.table(t).select(*wanted) for t, wanted in zip((f"silver_{left}", right), columns)]
+        if self.store.merge:  # a stream: what it has taken in so far
+            return DeltaJoin(self.spark, self.store.joined(name), key, join, *(df.schema for df in sides)).waiting()
+        return sides[0].join(sides[1].select(key), key, "left_anti")
 
     def _stream(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
         self._finish(name, self.store.start(df, name, partition_by))

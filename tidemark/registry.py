@@ -5,18 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property, reduce, wraps
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from tidemark import contracts as C
-from tidemark.operators.anomalies import app_anomalies_daily, txn_anomalies_daily, volume_outliers
+from tidemark.operators.anomalies import app_anomalies_daily, change_points, txn_anomalies_daily, volume_outliers
 from tidemark.operators.joins import orphans_by_edge
 from tidemark.operators.quality import quality_log, rejected_daily, union_logs, violations_by_rule
 from tidemark.operators.rules import FAILED, apply_rules
 from tidemark.plans import gold, reports, silver
 from tidemark.plans.metrics import Bronze, bronze_facts, gold_daily_metrics
-from tidemark.session import STREAM_SALTS, scratch_dir, settings, stream_settings
+from tidemark.plans.pipeline import Config, Pipeline
+from tidemark.session import scratch_dir, settings, stream_settings
 from tidemark.sources import sample
-from tidemark.sources.landing import with_date
+from tidemark.sources.landing import land, with_date
+from tidemark.sources.ledger import FileLedger
+from tidemark.streaming.delta import delta_join
 from tidemark.streaming.sinks import latest, per_batch, read_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -130,6 +134,7 @@ _DAILY: dict[str, Callable[[Views], DataFrame]] = {
     "txn_anomalies_daily": lambda v: txn_anomalies_daily(v.gold_txns),
     "orphans_by_edge": lambda v: orphans_by_edge(v.visits, v.apps, v.accounts, v.txns),
     "volume_outliers": lambda v: volume_outliers(v.metrics_base),
+    "change_points": lambda v: change_points(v.metrics),
     "trust_score_today": lambda v: reports.trust_score_today(v.metrics, sample.AS_OF),
     "time_since_last_anomaly": lambda v: reports.time_since_last_anomaly(v.gold_apps, v.gold_txns, sample.AS_OF),
     "freshness_trend": lambda v: reports.freshness_trend(v.metrics),
@@ -162,40 +167,88 @@ def _stream_app_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_txn_anomalies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = _stream_join(spark, sf_dir)
-    out = scratch_dir(spark, "txn-features")
-    per_batch(joined, f"{out}/table", f"{out}/checkpoint").awaitTermination()
-    features = spark.readStream.schema(joined.schema).parquet(f"{out}/table/*")
+    out, schema = _txn_features(spark, sf_dir)
+    features = spark.readStream.schema(schema).parquet(f"{out}/table/*")
     daily = txn_anomalies_daily(_timed(features), delay=REPLAY_DELAY)
     per_batch(daily, f"{out}/daily", f"{out}/daily-checkpoint", mode="update").awaitTermination()
     return latest(spark, f"{out}/daily", "date")
 
 
-def _stream_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _txn_features(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
+    """Both inputs as streams, joined by what is new on either side."""
     txns = silver.silver_transactions(sample.transactions(sample.load_stream(spark, sf_dir, "lineitem")))
-    accounts = silver.silver_accounts(sample.accounts(sample.load_stream(spark, sf_dir, "orders")))
-    return gold.gold_transaction_features(txns, accounts, salts=STREAM_SALTS)
+    accounts = silver.silver_accounts(sample.accounts(sample.load_stream(spark, sf_dir, "orders"))).select("account_id", "approved_limit", "account_open_timestamp")
+    txns = txns.select("txn_id", "account_id", "amount", "timestamp", "location")
+    out = scratch_dir(spark, "txn-features")
+    delta_join(
+        txns, accounts, "account_id", gold.gold_transaction_features, f"{out}/table", f"{out}/joined", f"{out}/checkpoint"
+    ).awaitTermination()
+    return out, gold.gold_transaction_features(txns, accounts).schema
 
 
 def _stream_txn_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = scratch_dir(spark, "txn-features")
-    per_batch(_stream_join(spark, sf_dir), f"{out}/table", f"{out}/checkpoint").awaitTermination()
+    out, _ = _txn_features(spark, sf_dir)
     return read_batches(spark, f"{out}/table")
 
 
 def _stream_gold_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Accounts as a stream against the validated applications, read anew for each micro-batch."""
+    """Accounts and validated applications as streams; either may come first."""
     accounts = silver.silver_accounts(sample.accounts(sample.load_stream(spark, sf_dir, "orders")))
+    apps = gold.gold_applications(silver.silver_applications(sample.applications(sample.load_stream(spark, sf_dir, "orders"))))
     out = scratch_dir(spark, "gold-accounts")
+    delta_join(accounts, apps, "app_id", gold.gold_accounts, f"{out}/table", f"{out}/joined", f"{out}/checkpoint").awaitTermination()
+    return read_batches(spark, f"{out}/table")
 
-    def with_application(batch: DataFrame) -> DataFrame:
-        apps = silver.silver_applications(sample.applications(sample.load(batch.sparkSession, sf_dir, "orders")))
-        return gold.gold_accounts(batch, gold.gold_applications(apps))
 
-    per_batch(accounts, f"{out}/table", f"{out}/checkpoint", with_application).awaitTermination()
-    return read_batches(spark, f"{out}/table")
+# --- From landing folders on ---
+
+
+def _land_sample(spark: SparkSession, sf_dir: str, landing: str, part: str, kept: Callable[[str], Column]) -> None:
+    """Land the sample inputs' rows that ``kept`` picks for their entity."""
+    for entity, df in sample.Funnel(spark, sf_dir).items():
+        typed = df.select(*[F.col(f.name).cast(f.dataType) for f in C.contract(entity)], F.col("_load_timestamp").cast("timestamp"))
+        land(typed.filter(kept(entity)), f"{landing}/{entity}", part, C.event_time(entity))
+
+
+def _sample_config(spark: SparkSession) -> Config:
+    out = scratch_dir(spark, "landed")
+    return Config(f"{out}/landing", f"{out}/root", sample.AS_OF, sample.REPLAY_DAYS, load_ts="_load_timestamp")
+
+
+def _landed_in_batch(spark: SparkSession, sf_dir: str) -> Pipeline:
+    config = _sample_config(spark)
+    _land_sample(spark, sf_dir, config.landing, "hist", lambda entity: F.lit(True))
+    pipeline = Pipeline(spark, config)
+    pipeline.run_batch()
+    return pipeline
 
 
+def _landed_in_stream(spark: SparkSession, sf_dir: str) -> Pipeline:
+    """Two runs of the stream. Each table is halved by a hash of its own, so rows land before and after those they refer to."""
+    keys = {"visitor_events": "visitor_id", "applications": "app_id", "accounts": "account_id", "transactions": "txn_id"}
+    config = _sample_config(spark)
+    for number, part in enumerate(("hist", "live")):
+        _land_sample(spark, sf_dir, config.landing, part, lambda entity: F.pmod(F.xxhash64(F.lit(entity), keys[entity]), F.lit(2)) == number)
+        pipeline = Pipeline(spark, config)
+        pipeline.run_stream()
+    return pipeline
+
+
+def _ledger_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per landed table from the ledger; the second update finds no new file."""
+    ledger = FileLedger(spark, scratch_dir(spark, "ledger"))
+    for _ in range(2):
+        for name in ("events", "orders", "lineitem"):
+            ledger.update(name, f"{sf_dir}/{name}.parquet")
+    return ledger.counts().select("table", "rows")
+
+
+_LANDED: dict[str, Query] = {
+    "landed_daily_metrics": lambda spark, sf_dir: _landed_in_batch(spark, sf_dir).table("gold_daily_metrics"),
+    "landed_stream_daily_metrics": lambda spark, sf_dir: _landed_in_stream(spark, sf_dir).table("gold_daily_metrics"),
+    "ledger_counts": _ledger_counts,
+}
+
 _STREAM: dict[str, Query] = {
     "stream_app_anomalies_daily": _stream_app_anomalies,
     "stream_txn_features": _stream_txn_features,
@@ -221,9 +274,19 @@ def _stream_query(build: Query) -> Query:
     return run
 
 
+def _landed_query(build: Query) -> Query:
+    @wraps(build)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with settings(spark, {"spark.sql.session.timeZone": "UTC"}):
+            return comparable(build(spark, sf_dir), 6)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
     return {
         **{name: _batch_query(build) for name, build in _ROWS.items()},
         **{name: _batch_query(build, 6) for name, build in _DAILY.items()},
         **{name: _stream_query(build) for name, build in _STREAM.items()},
+        **{name: _landed_query(build) for name, build in _LANDED.items()},
     }

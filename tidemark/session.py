@@ -27,10 +27,6 @@ STREAM_SETTINGS = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
-# Tasks a join key of a stream is spread over. A stateful stream has no AQE, and a key's
-# salts must stay the same for the life of its checkpoint, so all keys are salted alike.
-STREAM_SALTS = 4
-
 
 def stream_settings(spark: SparkSession) -> dict[str, str]:
     """``STREAM_SETTINGS``, and on a single machine no more state partitions than cores.

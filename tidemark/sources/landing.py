@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark import contracts as C
 from tidemark.sources.drift import read_merged, widened
+from tidemark.sources.ledger import FileLedger
 
 # Batch folders hold separate `date=` trees below one root, which partition discovery
 # refuses as conflicting; recursive lookup reads the files and ignores the folder names.
@@ -58,14 +59,26 @@ def bronze_batch(spark: SparkSession, path: str, schema: T.StructType, load_ts:
     return stamp(spark.read.schema(schema).options(**_RECURSIVE).parquet(path), load_ts)
 
 
-def bronze(spark: SparkSession, landing: str, entity: str, streaming: bool = False, max_files: int | None = None, load_ts: Column | None = None) -> DataFrame:
+def bronze(
+    spark: SparkSession,
+    landing: str,
+    entity: str,
+    streaming: bool = False,
+    max_files: int | None = None,
+    load_ts: Column | None = None,
+    ledger: FileLedger | None = None,
+) -> DataFrame:
     """The bronze table of ``entity`` from ``<landing>/<entity>``: its contract, then whatever else has landed.
 
-    Tasks gather the schemas from the parquet footers. Columns that land while a stream is
-    running join it at its next start.
+    With a ``ledger`` only the footers of files it does not know are read, else those of all
+    files. Columns that land while a stream is running join it at its next start.
     """
     path = f"{landing.rstrip('/')}/{entity}"
-    schema = widened(C.contract(entity), read_merged(spark, path))
+    if ledger is None:
+        schema = widened(C.contract(entity), read_merged(spark, path))
+    else:
+        ledger.update(entity, path)
+        schema = ledger.schema(entity, C.contract(entity))
     if streaming:
         return bronze_stream(spark, path, schema, max_files, load_ts)
     return bronze_batch(spark, path, schema, load_ts)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -36,6 +36,10 @@ class TableStore:
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
+    def joined(self, name: str) -> str:
+        """Where a join of two streams keeps the rows it has taken in."""
+        return f"{self.root}/joined/{name}"
+
     # --- writing ---
 
     def write(
@@ -107,6 +111,38 @@ def quoted(text: object) -> str:
     return "'" + str(text).replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def register_table(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    schema: T.StructType,
+    partition_by: Sequence[str] = (),
+    comment: str = "",
+    props: Mapping[str, str] | None = None,
+) -> None:
+    """A catalog table over a stored folder. Only the catalog changes: no data file is written or removed.
+
+    An entry of the same name is replaced, as columns or place may have changed; one that owns
+    its files is left alone, since dropping it would remove them.
+    """
+    if spark.catalog.tableExists(name):
+        kind = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}.get("Type")
+        if kind != "EXTERNAL":
+            raise ValueError(f"{name} is no table over a folder: drop it first")
+        spark.sql(f"DROP TABLE {name}")
+    last = [f for f in schema if f.name in partition_by]
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in [*(f for f in schema if f not in last), *last])
+    dealt = f"PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    pairs = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in (props or {}).items())
+    spark.sql(
+        f"CREATE TABLE {name} ({columns}) USING parquet {dealt} LOCATION {quoted(path)} COMMENT {quoted(comment)}"
+        + (f" TBLPROPERTIES ({pairs})" if pairs else "")
+    )
+    # a folder that a stream's file sink wrote has a log of its files, which Spark reads instead
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+
+
 def materialize(df: DataFrame, name: str, comment: str = "", props: Mapping[str, str] | None = None, mode: str = "overwrite") -> None:
     """Save ``df`` as a catalog table with a comment and properties."""
     df.write.mode(mode).format("parquet").saveAsTable(name)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.rules import Rule, split_applicable
 
 BATCH = "batch_id"
+COUNTS = "-counts"
 
 
 def per_batch(
@@ -19,15 +20,24 @@ def per_batch(
     step: Callable[[DataFrame], DataFrame] | None = None,
     mode: str = "append",
     name: str | None = None,
+    rules: Sequence[Rule] = (),
 ) -> StreamingQuery:
     """Write each micro-batch to its own folder, so running it again replaces it.
 
+    With ``rules`` the rows checked and failed of each batch are counted on the way and kept
+    beside it in the same manner, for ``rule_totals``: exact however many batches there were.
+
     ``step`` turns a micro-batch into the rows to write. It is called for every batch:
     tables it reads are listed anew, unlike the fixed side of a stream-static join.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = step(batch) if step else batch
+        seen = Observation() if rules else None
+        counted = batch.observe(seen, *rule_counts(batch, rules)) if rules else batch
+        rows = step(counted) if step else counted
         rows.write.mode("overwrite").parquet(f"{path}/{BATCH}={batch_id}")
+        if rules:
+            entries = batch.sparkSession.createDataFrame(list(seen.get.items()), "name string, rows long").coalesce(1)
+            entries.write.mode("overwrite").parquet(f"{path}{COUNTS}/{BATCH}={batch_id}")
 
     writer = df.writeStream.foreachBatch(write).outputMode(mode).option("checkpointLocation", checkpoint)
     if name:
@@ -52,17 +62,24 @@ def count_rules(df: DataFrame, rules: Sequence[Rule], name: str) -> DataFrame:
 
     The counters ride along with the rows: no second pass and no exchange.
     """
+    return df.observe(name, *rule_counts(df, rules))
+
+
+def rule_counts(df: DataFrame, rules: Sequence[Rule]) -> list[Column]:
     run, _ = split_applicable(df, rules)
-    return df.observe(
-        name, F.count(F.lit(1)).alias("checked_rows"), *[F.expr(f"count_if(NOT {r.sql}) AS {r.name}") for r in run]
-    )
+    return [F.count(F.lit(1)).alias("checked_rows"), *[F.expr(f"count_if(NOT {r.sql}) AS {r.name}") for r in run]]
+
+
+def rule_totals(spark: SparkSession, path: str) -> DataFrame:
+    """(name, rows): rows checked, and failed per rule, over all batches ``per_batch`` has written below ``path``."""
+    return spark.read.parquet(f"{path}{COUNTS}").groupBy("name").agg(F.sum("rows").alias("rows"))
 
 
 def observed_totals(query: StreamingQuery, name: str) -> dict[str, int]:
     """Counters of ``count_rules`` summed over the query's progress reports.
 
-    Spark keeps only so many of them: once some may be gone this is an error, and the totals
-    are to be counted from the marks stored with the rows.
+    Spark keeps only so many of them: once some may be gone this is an error; ``per_batch`` with
+    ``rules`` keeps the counts of every batch.
     """
     totals: dict[str, int] = {}
     kept = int(SparkSession.active().conf.get("spark.sql.streaming.numRecentProgressUpdates"))
