@@ -10,7 +10,7 @@ from tidemark import contracts as C
 from tidemark.operators.anomalies import app_anomalies_daily, change_points, volume_outliers
 from tidemark.operators.joins import heavy_keys, inner_join, orphans_by_edge
 from tidemark.plans import gold, silver
-from tidemark.plans.metrics import Bronze, bronze_facts, gold_daily_metrics
+from tidemark.plans.metrics import Bronze, bronze_facts, daily_metrics_in_one_pass, gold_daily_metrics
 
 AS_OF = "2024-01-30 12:00:00"
 
@@ -185,3 +185,20 @@ def test_slow_shifts_are_found_and_noise_is_not(spark):
         assert [(r.date, r.rise, r.fall) for r in sorted((r for r in got if r.metric == metric), key=lambda r: r.date)] == want
     flat = spark.createDataFrame([(date(2024, 1, 1 + i), 0.0) for i in range(9)], "date date, conversion_rate double")
     assert {(r.rise, r.fall, r.change) for r in change_points(flat, ["conversion_rate"]).collect()} == {(0.0, 0.0, None)}
+
+
+def test_one_pass_reads_each_table_once_and_gives_the_same(spark, tmp_path):
+    stored = Bronze(*(_stored(spark, df, f"{tmp_path}/{i}") for i, df in enumerate(vars(_funnel(spark)).values())))
+    rules = {e: silver.technical_rules(e, AS_OF, 60) for e in C.ENTITIES}
+    txns = gold.gold_transaction_features(silver.silver_transactions(stored.transactions), silver.silver_accounts(stored.accounts))
+    got = daily_metrics_in_one_pass(stored, txns, rules)
+    assert rows(got) == rows(_metrics(stored, True))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    # transactions and accounts are read again for the join, nothing else is
+    assert plan.count("Relation [") == 6
+    assert _metrics(stored, True)._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 9
+
+
+def _stored(spark, df, path):
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -69,11 +69,15 @@ def quality_facts(
     timeliness: bool = False,
     null_share_of: str | None = None,
     technical: bool = True,
+    then: Sequence[Rule] = (),
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """Per row, raw or marked: how many rules it broke and what it adds to the day's figures.
 
     A narrow projection meant to be unioned with other facts and summed per day once
-    (``plans.metrics``). ``technical=False`` adds to the count of failed checks only.
+    (``plans.metrics``). ``technical=False`` adds to the count of failed checks only. ``then`` are
+    rules that see the rows which pass ``rules``. ``also`` are further SQL columns, in which
+    ``{clean}`` stands for "passes all of them", so that one scan serves figures of either kind.
     """
     if FAILED in df.columns:
         broken, clean = f"size({FAILED})", f"size({FAILED}) = 0"
@@ -81,7 +85,9 @@ def quality_facts(
         run, _ = split_applicable(df, rules)
         broken = " + ".join(f"int({_broken(df, r)})" for r in run if r.action == "drop") or "0"
         clean = all_pass(run)
-    columns = [f"to_date({event_time}) AS date", f"{broken} AS failed_checks"]
+    later = " + ".join(f"int(NOT {r.sql})" for r in then)
+    failed = f"{broken} + IF({clean}, {later}, 0)" if then else broken
+    columns = [f"to_date({event_time}) AS date", f"{failed} AS failed_checks"]
     if technical:
         columns += ["1 AS bronze_rows", f"int({clean}) AS compliant_rows"]
         if timeliness:
@@ -89,4 +95,6 @@ def quality_facts(
             columns.append(f"IF({clean}, {hours_between(event_time, loaded)}, NULL) AS lag_hours")
     if null_share_of:
         columns += ["1 AS campaign_rows", f"int({null_share_of} IS NULL) AS campaign_nulls"]
+    passed = f"({clean}) AND {all_pass(then)}" if then else f"({clean})"
+    columns += [sql.format(clean=passed) for sql in also]
     return df.selectExpr(*columns)

@@ -73,6 +73,44 @@ class Bronze:
     transactions: DataFrame
 
 
+_VISIT_COUNTS = (
+    _flag("{clean} AND visitor_id IS NOT NULL", "visits"),
+    _flag("{clean} AND event_type = 'apply_click'", "apply_clicks"),
+    "IF({clean}, 1, NULL) AS core",
+)
+
+
+def _application_counts(ratio: str, threshold: float) -> tuple[str, ...]:
+    return (
+        _flag("{clean} AND app_id IS NOT NULL", "applications"),
+        _flag("{clean} AND application_status = 'approved'", "approvals"),
+        _flag(f"{{clean}} AND {ratio} > {threshold}D", "ml_anomalies"),
+        "IF({clean}, 1, NULL) AS core",
+    )
+
+
+def one_pass_facts(
+    bronze: Bronze, rules: Mapping[str, Sequence[Rule]], business: DataFrame | None = None, app_threshold: float = C.APP_ANOMALY_RATIO
+) -> list[DataFrame]:
+    """Key figures and quality figures of visits and applications, quality figures of the rest: each table is read once.
+
+    ``business`` are marked rows of gold_applications where such are stored; else the business
+    rules are applied to the applications that pass the technical ones, in the same pass.
+    """
+    technical = {"timeliness": True}
+    if business is None:
+        technical |= {"then": BUSINESS_RULES, "also": _application_counts("try_divide(req_credit_limit, annual_income)", app_threshold)}
+    facts = [
+        quality_facts(bronze.visitor_events, rules["visitor_events"], timeliness=True, null_share_of="campaign_id", also=_VISIT_COUNTS),
+        quality_facts(bronze.applications, rules["applications"], **technical),
+        quality_facts(bronze.accounts, rules["accounts"], event_time=C.event_time("accounts")),
+        quality_facts(bronze.transactions, rules["transactions"], timeliness=True),
+    ]
+    if business is not None:
+        facts.append(quality_facts(business, BUSINESS_RULES, technical=False, also=_application_counts("req_income_ratio", app_threshold)))
+    return facts
+
+
 def bronze_facts(bronze: Bronze, business_input: DataFrame, rules: Mapping[str, Sequence[Rule]]) -> list[DataFrame]:
     """Compliance, timeliness, null share and failed checks, one scan per table.
 
@@ -134,8 +172,23 @@ def gold_daily_metrics(
     share columns are added (the *full* form). Rows without an event day belong to no
     day; the quality log counts them.
     """
-    full = quality is not None
     facts = [visit_facts(visits), application_facts(apps, app_threshold), transaction_facts(txns, txn_threshold), *(quality or [])]
+    return _daily(facts, quality is not None)
+
+
+def daily_metrics_in_one_pass(
+    bronze: Bronze,
+    txns: DataFrame,
+    rules: Mapping[str, Sequence[Rule]],
+    business: DataFrame | None = None,
+    app_threshold: float = C.APP_ANOMALY_RATIO,
+    txn_threshold: float = C.TXN_ANOMALY_RATIO,
+) -> DataFrame:
+    """The full form of ``gold_daily_metrics`` from raw or marked rows, each table read once (see ``one_pass_facts``)."""
+    return _daily([*one_pass_facts(bronze, rules, business, app_threshold), transaction_facts(txns, txn_threshold)], True)
+
+
+def _daily(facts: list[DataFrame], full: bool) -> DataFrame:
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), facts).filter("date IS NOT NULL")
     sums = {**_BASE_SUMS, **_FULL_SUMS} if full else _BASE_SUMS
     rest = _FULL_COLUMNS if full else _BASE_COLUMNS

@@ -16,7 +16,7 @@ from tidemark.operators.anomalies import app_anomalies_daily, txn_anomalies_dail
 from tidemark.operators.quality import quality_log, union_logs
 from tidemark.operators.rules import mark_failures
 from tidemark.plans.gold import BUSINESS_RULES, gold_accounts, gold_transaction_features, with_income_ratio
-from tidemark.plans.metrics import Bronze, bronze_facts, gold_daily_metrics
+from tidemark.plans.metrics import Bronze, daily_metrics_in_one_pass
 from tidemark.plans.silver import checked, technical_rules
 from tidemark.session import settings, stream_settings
 from tidemark.sources.landing import bronze
@@ -282,13 +282,7 @@ class Pipeline:
         refresh = since is not None or only is not None
         apps, transactions = days(self.table("gold_applications")), days(self.table("gold_transaction_features"))
         thresholds = self.config.app_threshold, self.config.txn_threshold
-        metrics = gold_daily_metrics(
-            days(self.table("silver_visitor_events")),
-            apps,
-            transactions,
-            bronze_facts(marked, business, {e: self._rules(e) for e in C.ENTITIES}),
-            *thresholds,
-        )
+        metrics = daily_metrics_in_one_pass(marked, transactions, {e: self._rules(e) for e in C.ENTITIES}, business, *thresholds)
         flagged = app_anomalies_daily(apps, thresholds[0]), txn_anomalies_daily(transactions, thresholds[1])
         for name, counts in zip(_SCHEMAS, flagged):
             self.store.write(counts, name, ("date",), refresh, balance=True)

@@ -14,7 +14,7 @@ from tidemark.operators.joins import orphans_by_edge
 from tidemark.operators.quality import quality_log, rejected_daily, union_logs, violations_by_rule
 from tidemark.operators.rules import FAILED, apply_rules
 from tidemark.plans import gold, reports, silver
-from tidemark.plans.metrics import Bronze, bronze_facts, gold_daily_metrics
+from tidemark.plans.metrics import Bronze, daily_metrics_in_one_pass, gold_daily_metrics
 from tidemark.plans.pipeline import Config, Pipeline
 from tidemark.session import scratch_dir, settings, stream_settings
 from tidemark.sources import sample
@@ -89,9 +89,7 @@ class Views:
 
     @cached_property
     def metrics(self) -> DataFrame:
-        bronze = Bronze(**dict(self.raw.items()))
-        facts = bronze_facts(bronze, self.apps, {e: self.rules(e) for e in C.ENTITIES})
-        return gold_daily_metrics(self.visits, self.gold_apps, self.gold_txns, facts)
+        return daily_metrics_in_one_pass(Bronze(**dict(self.raw.items())), self.gold_txns, {e: self.rules(e) for e in C.ENTITIES})
 
 
 def _rejected_applications(v: Views) -> DataFrame:
