@@ -9,12 +9,13 @@ n-gram from two of its values, so numpy fingerprints every n-gram at once.
 2. Pairs, then longer n-grams but for the longest: the same for those whose two parts, all but
    the last and all but the first word, are marked. A phrase is only as frequent as any part of
    it, so nothing is lost; a bit that two fingerprints share lets a few more through.
-3. Phrases: each task takes the marked n-grams, and the longest ones whose two parts are. Per
+3. Words outside of any marked pair are unmarked again: no phrase holds them.
+4. Phrases: each task takes the marked n-grams, and the longest ones whose two parts are. Per
    n-gram it keeps a count and an occurrence pointer, the place of one occurrence in its text.
    Occurrences with equal fingerprints are checked against the text at that pointer, word by word;
    what differs is a collision and gets a pointer of its own. Only here, for the few that may
    be frequent, pointers turn into text, and the shuffle sums counts by text, which is exact.
-4. Cuts, scores and the test for longer phrases are joins of the frequent phrases with themselves.
+5. Cuts, scores and the test for longer phrases are joins of the frequent phrases with themselves.
 
 Pointers are resolved in the task that found them: sent through the shuffle they would have to be
 joined with whole texts once more.
@@ -26,7 +27,7 @@ punctuation is one piece, however long: it is worked on whole. Further columns a
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,9 +39,9 @@ from tidemark.llm.common import slices, stored
 
 # Bits of a map of frequent n-grams (8 MB); so many bytes of text are worked on at once.
 MAP_BITS = 26
-CHUNK = 1 << 21
-HELD_ROWS = 1 << 21
-HELD_PHRASES = 200_000
+CHUNK = 1 << 20
+HELD_ROWS = 1 << 20
+HELD_PHRASES = 500_000
 LONG_WORD = 64
 # Parts of a language whose best phrases are ranked apart from each other first.
 PARTS = 32
@@ -241,19 +242,32 @@ def _grams(chunk: int, bits: int, maps):
     return run
 
 
+def _paired_words(chunk: int, bits: int, maps):
+    """The words that stand in a marked pair: no other word is part of a phrase."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers, sums, known = Powers(), Sums(), [np.frombuffer(m.value, np.uint8) for m in maps]
+        for lang, raw in _runs(batches, chunk):
+            part = Chunk(raw, lang, powers, bits)
+            *_, (first, _) = _known(part, known)
+            if sums.add(part.fingerprints(np.union1d(first, first + 1), 1)):
+                yield sums.flush()
+        yield sums.flush()
+    return run
+
+
 def _phrases(chunk: int, bits: int, maps):
     """Counts by text of the marked n-grams and of those one word longer."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> pa.RecordBatch:
-            rows = [(*key, count) for key, count in counts.items()]
+            columns = [[], [], [], []]
+            for (lang, n), found in counts.items():
+                for column, values in zip(columns, ([lang] * len(found), [n] * len(found), found, found.values())):
+                    column.extend(values)
             counts.clear()
-            lang, n, phrase, count = zip(*rows) if rows else ((),) * 4
-            return pa.RecordBatch.from_arrays(
-                [pa.array(lang, pa.string()), pa.array(n, pa.int32()), pa.array(phrase, pa.binary()), pa.array(count, pa.int64())],
-                ["lang", "words", "phrase", "n"],
-            )
+            kinds = pa.string(), pa.int32(), pa.binary(), pa.int64()
+            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], ["lang", "words", "phrase", "n"])
 
-        powers, counts, known = Powers(), Counter(), [np.frombuffer(m.value, np.uint8) for m in maps]
+        powers, counts, known = Powers(), defaultdict(Counter), [np.frombuffer(m.value, np.uint8) for m in maps]
         for lang, raw in _runs(batches, chunk):
             part = Chunk(raw, lang, powers, bits)
             ids = part.word_ids(part.fingerprints(part.grams(1), 1))
@@ -261,9 +275,10 @@ def _phrases(chunk: int, bits: int, maps):
             longest = _grown(part, found[-1][0], len(maps) + 1)
             found.append((longest, part.fingerprints(longest, len(maps) + 1)))
             for n, (first, keys) in enumerate(found, 1):
+                sums = counts[lang, n]
                 for pointer, count in pointers(keys, first, ids, n):
-                    counts[lang, n, part.phrase(pointer, n)] += count
-            if len(counts) > HELD_PHRASES:
+                    sums[part.phrase(pointer, n)] += count
+            if sum(map(len, counts.values())) > HELD_PHRASES:
                 yield flush()
         yield flush()
     return run
@@ -298,6 +313,8 @@ def bit_map(keys: DataFrame) -> bytes:
 def frequent_phrases(spark: SparkSession, docs: DataFrame, least: int, longest: int, chunk: int = CHUNK, bits: int = 64) -> tuple[DataFrame, DataFrame]:
     """(lang, words, phrase, f) of all phrases with at least ``least`` occurrences, and (lang, n) word totals.
 
+    Of single words only those in a pair that may be frequent are among them.
+
     ``bits`` of a fingerprint are used; fewer only make collisions, for tests.
     """
     texts, rows, summed = docs.select("lang", "text"), "lang string, key long, n long", F.sum("n").alias("n")
@@ -307,6 +324,9 @@ def frequent_phrases(spark: SparkSession, docs: DataFrame, least: int, longest:
     while len(maps) < longest - 1:
         counts = texts.mapInArrow(_grams(chunk, bits, list(maps)), rows).groupBy("key").agg(summed)
         maps.append(spark.sparkContext.broadcast(bit_map(counts.where(enough))))
+    if len(maps) > 1:
+        paired = texts.mapInArrow(_paired_words(chunk, bits, maps[:2]), rows).select("key").distinct()
+        maps[0] = spark.sparkContext.broadcast(bit_map(paired))
     found = texts.mapInArrow(_phrases(chunk, bits, maps), "lang string, words int, phrase binary, n long")
     counted = found.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
     phrases = stored(counted.select("lang", "words", F.col("phrase").cast("string").alias("phrase"), "f"), "collocations-phrases")
