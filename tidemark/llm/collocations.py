@@ -6,12 +6,11 @@ n-gram from two of its values, so numpy fingerprints every n-gram at once.
 
 1. Words: tasks combine (fingerprint, count) and the shuffle sums them. Those that reach
    ``least`` occurrences mark a bit map of fixed size.
-2. Pairs, then longer n-grams but for the longest: the same for those whose two parts, all but
-   the last and all but the first word, are marked. A phrase is only as frequent as any part of
-   it, so nothing is lost; a bit that two fingerprints share lets a few more through.
+2. Pairs, then longer n-grams: the same for those whose two parts, all but the last and all but
+   the first word, are marked. A phrase is only as frequent as any part of it, so nothing is lost;
+   a bit that two fingerprints share lets a few more through.
 3. Words outside of any marked pair are unmarked again: no phrase holds them.
-4. Phrases: each task takes the marked n-grams, and the longest ones whose two parts are. Per
-   n-gram it keeps a count and an occurrence pointer, the place of one occurrence in its text.
+4. Phrases: each task takes the marked n-grams. Per n-gram it keeps a count and an occurrence pointer, the place of one occurrence in its text.
    Occurrences with equal fingerprints are checked against the text at that pointer, word by word;
    what differs is a collision and gets a pointer of its own. Only here, for the few that may
    be frequent, pointers turn into text, and the shuffle sums counts by text, which is exact.
@@ -256,7 +255,7 @@ def _paired_words(chunk: int, bits: int, maps):
 
 
 def _phrases(chunk: int, bits: int, maps):
-    """Counts by text of the marked n-grams and of those one word longer."""
+    """Counts by text of the marked n-grams."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> pa.RecordBatch:
             columns = [[], [], [], []]
@@ -271,10 +270,7 @@ def _phrases(chunk: int, bits: int, maps):
         for lang, raw in _runs(batches, chunk):
             part = Chunk(raw, lang, powers, bits)
             ids = part.word_ids(part.fingerprints(part.grams(1), 1))
-            found = list(_known(part, known))
-            longest = _grown(part, found[-1][0], len(maps) + 1)
-            found.append((longest, part.fingerprints(longest, len(maps) + 1)))
-            for n, (first, keys) in enumerate(found, 1):
+            for n, (first, keys) in enumerate(_known(part, known), 1):
                 sums = counts[lang, n]
                 for pointer, count in pointers(keys, first, ids, n):
                     sums[part.phrase(pointer, n)] += count
@@ -321,7 +317,7 @@ def frequent_phrases(spark: SparkSession, docs: DataFrame, least: int, longest:
     enough = F.col("n") >= least
     singles = stored(texts.mapInArrow(_words(chunk, bits), rows).groupBy("lang", "key").agg(summed), "collocations-words")
     maps = [spark.sparkContext.broadcast(bit_map(singles.where("key IS NOT NULL").where(enough)))]
-    while len(maps) < longest - 1:
+    while len(maps) < longest:
         counts = texts.mapInArrow(_grams(chunk, bits, list(maps)), rows).groupBy("key").agg(summed)
         maps.append(spark.sparkContext.broadcast(bit_map(counts.where(enough))))
     if len(maps) > 1:
