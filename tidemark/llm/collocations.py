@@ -10,10 +10,11 @@ n-gram from two of its values, so numpy fingerprints every n-gram at once.
    the first word, are marked. A phrase is only as frequent as any part of it, so nothing is lost;
    a bit that two fingerprints share lets a few more through.
 3. Words outside of any marked pair are unmarked again: no phrase holds them.
-4. Phrases: each task takes the marked n-grams. Per n-gram it keeps a count and an occurrence pointer, the place of one occurrence in its text.
-   Occurrences with equal fingerprints are checked against the text at that pointer, word by word;
-   what differs is a collision and gets a pointer of its own. Only here, for the few that may
-   be frequent, pointers turn into text, and the shuffle sums counts by text, which is exact.
+4. Phrases: each task takes the marked n-grams. Per n-gram it keeps a count and an occurrence
+   pointer, the place of one occurrence in its text. Occurrences with equal fingerprints are
+   checked against the text at that pointer, word by word; what differs is a collision and gets a
+   pointer of its own. Only here, for the few that may be frequent, pointers turn into text, and
+   the shuffle sums counts by text, which is exact.
 5. Cuts, scores and the test for longer phrases are joins of the frequent phrases with themselves.
 
 Pointers are resolved in the task that found them: sent through the shuffle they would have to be
