@@ -1,0 +1,134 @@
+"""Main text by density: awkward pages, names that only weigh, and a plain re-computation of the densities."""
+
+import math
+import random
+
+import pytest
+
+from tidemark.llm import html_text
+
+
+def told(name, count):
+    return [f"Paragraph {i} of the {name} tells at some length what came to pass there, in plain words and without links." for i in range(count)]
+
+
+def marked(name, count=1):
+    return "".join(f"<p>{t}</p>" for t in told(name, count))
+
+
+def plain(name, count=1):
+    return " ".join(told(name, count))
+
+
+STORY = f"Head {plain('story', 3)}"
+LINKS = "".join(f'<li><a href="/{i}">A linked headline of another story, number {i}</a></li>' for i in range(30))
+PAGES = {
+    "words in quoted values are no names": (
+        f'<article><h1>Head</h1>{marked("story", 3)}<p title="a hidden gem" data-x="class=ad">A gem.</p></article>', f"{STORY} A gem."),
+    "ids that name a heading": (
+        f'<article><h1>Head</h1>{marked("story", 3)}<h2 id="related-work">Related work</h2>{marked("past")}<section id="sharing-data">'
+        f'<h2>Sharing data</h2>{marked("data", 2)}</section></article>', f"{STORY} Related work {plain('past')} Sharing data {plain('data', 2)}"),
+    "a layout class around the page": (
+        f'<div class="layout sidebar-right"><div><h2>Head</h2>{marked("story", 3)}</div></div><div>Other small text about us</div>', STORY),
+    "comments longer than the story": (
+        f'<main><h1>Head</h1>{marked("story", 3)}<section class="comments"><article class="comment">{marked("reader", 8)}</article>'
+        f'<article class="comment">{marked("other", 8)}</article></section></main>', STORY),
+    "comments after the article": (
+        f'<article><h1>Head</h1>{marked("story", 3)}</article><section class="comments"><article>{marked("reader", 8)}</article></section>', STORY),
+    "an article within an article": (f'<article><h1>Head</h1>{marked("story", 3)}<article>{marked("reader")}</article></article>', STORY),
+    "a notice without a name": (f'<p>We use cookies. <a href="/c">More</a></p><h1>Head</h1>{marked("story", 3)}', STORY),
+    "a notice in a block": (f'<div>We use cookies here. <a href="/c">More</a></div><div><h1>Head</h1>{marked("story", 3)}</div>', STORY),
+    "nothing but a named part": (f'<div class="promo">{marked("story", 3)}</div>', plain("story", 3)),
+    "sections of one article": (
+        f'<div><h1>Head</h1><section><h2>One</h2>{marked("one", 5)}</section><section><h2>Two</h2>{marked("two")}</section><p>End.</p></div>'
+        "<div>About us</div>", f"Head One {plain('one', 5)} Two {plain('two')} End."),
+    "buttons within the article": (
+        f'<article><h1>Head</h1>{marked("story", 3)}<div class="share"><a href="/x">Share</a></div><p>End.</p></article>', f"{STORY} End."),
+    "an advert longer than the story": (f'<div class="ad">{marked("advert", 9)}</div><article><h1>Head</h1>{marked("story", 3)}</article>', STORY),
+    "a list of links longer than the story": (f'<div><ul>{LINKS}</ul></div><div><h1>Head</h1>{marked("story", 3)}</div>', STORY),
+    "an article without text": ('<div class="ad">Buy now.</div><article></article>', ""),
+    "a body without text": ("<body> <p> </p></body>", ""),
+    "a deep pile of names": ('<div class="ad">' * 3000 + "deep", "deep"),
+}
+
+
+@pytest.mark.parametrize("name", PAGES)
+def test_awkward_pages(name):
+    page, text = PAGES[name]
+    assert html_text.main_text(f"<html><body>{page}</body></html>") == text
+
+
+def test_a_very_long_page_is_read_whole():
+    page = f'<body><nav><a href="/">menu</a></nav><div><h1>Head</h1>{marked("story", 40_000)}</div><div>About us</div></body>'
+    assert html_text.main_text(page) == f"Head {plain('story', 40_000)}"
+
+
+def test_density_decides(monkeypatch):
+    def even(nodes, link_share):
+        for node in nodes:
+            node.density = node.total = 1.0 if node.chars else 0.0
+    monkeypatch.setattr(html_text, "weighed", even)
+    wrong = [n for n, (page, text) in PAGES.items() if text and html_text.main_text(f"<html><body>{page}</body></html>") != text]
+    assert len(wrong) >= 10
+
+
+def grown(rng, depth=0):
+    """A random small tree as nested lists (tag, children)."""
+    children = []
+    for _ in range(rng.randint(1, 4)):
+        if depth > 3 or rng.random() < 0.4:
+            children.append("w" * rng.randint(1, 60))
+        else:
+            children.append((rng.choice(["div", "a", "section", "span"]), grown(rng, depth + 1)))
+    return children
+
+
+def counts(children):
+    """Characters, tags, link characters and link tags below, counted one by one."""
+    total = [0, 0, 0, 0]
+    for child in children:
+        if isinstance(child, str):
+            total[0] += len(child)
+            continue
+        chars, tags, link_chars, link_tags = counts(child[1])
+        total[0] += chars
+        total[1] += tags + 1
+        total[2] += chars if child[0] == "a" else link_chars
+        total[3] += link_tags + (child[0] == "a")
+    return total
+
+
+def density(children, share):
+    chars, tags, link_chars, link_tags = counts(children)
+    tags = tags or 1
+    base = math.log(chars / ((chars - link_chars) or 1) * link_chars + share * chars + math.e)
+    inner = max(chars / (link_chars or 1) * tags / (link_tags or 1), 1.0)
+    return chars / tags * (math.log(inner, base) if base > 1 + 1e-8 else 1.0)
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_densities_against_a_plain_computation(seed):
+    rng = random.Random(seed)
+    tree = grown(rng)
+    markup = lambda children: "".join(c if isinstance(c, str) else f"<{c[0]}>{markup(c[1])}</{c[0]}>" for c in children)
+    root = html_text.parsed(markup(tree))
+    share = rng.choice([0.0, 0.05, 0.4])
+    nodes = html_text.measured(root)
+    html_text.weighed(nodes, share)
+
+    def check(node, children):
+        assert node.density == pytest.approx(density(children, share), rel=1e-6)
+        inner = [c for c in children if not isinstance(c, str)]
+        assert node.total == pytest.approx(sum(density(c[1], share) for c in inner), rel=1e-6)
+        mine = [c for c in node.children if isinstance(c, html_text.Node)]
+        assert [c.tag for c in mine] == [c[0] for c in inner]
+        for a, b in zip(mine, inner):
+            check(a, b[1])
+    check(root, tree)
+    best = html_text.best_below(nodes)[id(root)]
+    assert html_text.value(best) == max(html_text.value(n) for n in nodes)
+
+
+def test_rows_with_clashing_columns(spark):
+    pages = spark.createDataFrame([(1, "u", "<p>a", 5, "t"), (1, "u", "<p>a", 5, "t")], "page_id long, url string, html string, n_chars long, text string")
+    assert [tuple(r) for r in html_text.extracted(pages).collect()] == [(1, "u", "a", 1)] * 2

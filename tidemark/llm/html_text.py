@@ -1,17 +1,27 @@
 """Main text of HTML pages by composite text density.
 
-A page becomes a tree of elements. Parts that name themselves as boilerplate (navigation,
-footers, forms, adverts, comments and the like) go first. Every remaining node gets a density,
-its characters per tag adjusted by the share of link characters and link tags, and the sum of
-its children's densities. The node with the largest sum holds the article; the smallest density
-on the way from the body to it is the threshold. If an ``article`` or ``main`` element encloses
-the node, or lies within it, that element is the article. Otherwise every node that reaches
-the threshold adds the subtree with the largest sum below it, so that an article in several
-sections is found whole.
+A page becomes a tree of elements. Elements whose kind is never article text (scripts, menus,
+footers, forms and the like, and elements of such a ``role``) go first. Every remaining node gets
+a density, its characters per tag adjusted by the share of link characters and link tags, and the
+sum of its children's densities. The node with the largest sum is the best; the smallest density
+on the way from the body to it is the threshold. Every node that reaches the threshold adds the
+subtree with the largest sum below it, so that an article in several sections is found whole; an
+element without elements must be as dense as the best.
+What stands between such subtrees, their headings and paragraphs right beside them belong to it.
+
+Names only weigh: a class or id that tells of boilerplate lowers the density of all below it (an
+id that ends in another word hardly, as titles lend theirs to anchors; one on a heading not at all), and
+an ``article`` or ``main`` has its sum raised. A name on an element that holds all ``main``, ``h1``
+and outer ``article`` elements speaks of the layout and does not count. An ``article`` within an
+``article`` is a reader's comment. Within the chosen subtrees a lowered part stays if it is still
+as dense as ``SLACK`` of the threshold. In a page without sections, what precedes the ``h1`` and
+misses the threshold is a notice.
 
 Block elements and line breaks part text, inline elements do not. Character references are
-decoded, runs of white space become one space. Null and empty pages, and pages without text,
-give an empty text. Unclosed, misnested and very deep markup is read without recursion.
+decoded, runs of white space become one space. Null and empty pages, pages without text, and pages
+whose ``article`` is there but empty give an empty text; an empty table gives no rows, repeated
+rows are repeated, further columns are left out. Unclosed, misnested, very deep and very long
+markup is read without recursion, and whole.
 """
 
 from __future__ import annotations
@@ -58,15 +68,24 @@ MARKS = frozenset(
     " widget widgets pagination pager skip hidden".split()
 )
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?|<([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>", re.S)
-_NAMES = re.compile(r"""(?:^|\s)(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORDS = re.compile(r"[\s_-]+")
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
+PROSE = HEADINGS | frozenset("p blockquote pre ul ol dl figure table".split())
+CONTENT = ("article", "main")
+# Densities below a class or id that names boilerplate; below an id that only begins like one, often a heading's anchor.
+LOWERED, ANCHOR = 0.1, 0.8
+# What the sum of an ``article`` or ``main`` counts for.
+RAISED = 4.0
+# A lowered part of the article stays from this share of the threshold on.
+SLACK = 0.4
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "marked", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "children", "role", "weight", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
-    def __init__(self, tag: str, parent: "Node | None", marked: bool = False):
-        self.tag, self.parent, self.children, self.marked = tag, parent, [], marked
+    def __init__(self, tag: str, parent: "Node | None", role: bool = False, weight: float = 1.0):
+        self.tag, self.parent, self.children, self.role, self.weight = tag, parent, [], role, weight
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
@@ -78,20 +97,21 @@ class Node:
         return node
 
 
-def marked(tag: str, attributes: str) -> bool:
-    """Whether an element's attributes name it as boilerplate."""
-    if not attributes or tag in ("html", "body", "main", "article"):
-        return False
-    for name, *values in _NAMES.findall(attributes):
-        name, value = name.lower(), html.unescape("".join(values)).lower()
-        if name == "hidden" or name == "role" and value.strip() in ROLES:
-            return True
-        if name in ("class", "id"):
-            for label in value.split():
+def told(tag: str, attributes: str) -> tuple[bool, float]:
+    """Whether attributes give an element a role outside the article, and what its names weigh."""
+    outside, weight = False, 1.0
+    if not attributes or tag in ("html", "body"):
+        return outside, weight
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        name, text = name.lower(), html.unescape("".join(values)).lower()
+        if name == "hidden" or name == "role" and text.strip() in ROLES:
+            outside = tag not in CONTENT
+        elif name == "class" or name == "id" and tag not in HEADINGS:
+            for label in text.split():
                 words = _WORDS.split(label)
                 if words[0] not in ("with", "has", "no") and (MARKS.intersection(words) or label in ("header", "site-header", "page-header")):
-                    return True
-    return False
+                    weight = min(weight, ANCHOR if name == "id" and words[-1] not in MARKS else LOWERED)
+    return outside, weight
 
 
 def parsed(page: str) -> Node:
@@ -128,7 +148,7 @@ def parsed(page: str) -> Node:
             ends, borders = ({"p"}, {"td", "th", "table", "button"}) if tag in ENDS_P else ENDS_OWN.get(tag, (set(), set()))
             if any(opened[t] for t in ends):
                 close(_outermost(stack, ends, borders))
-            node = Node(tag, stack[-1], marked(tag, attributes))
+            node = Node(tag, stack[-1], *told(tag, attributes))
             stack[-1].children.append(node)
             if tag in RAW:
                 stop = re.compile(f"</{tag}[^>]*>", re.I).search(page, at)
@@ -151,9 +171,6 @@ def _outermost(stack: list[Node], tags: set[str], borders: set[str]) -> int:
     return result
 
 
-CONTENT = ("article", "main")
-
-
 def ordered(root: Node) -> list[Node]:
     """All elements, parents before children, in page order."""
     result, todo = [], [root]
@@ -164,23 +181,35 @@ def ordered(root: Node) -> list[Node]:
     return result
 
 
-def pruned(root: Node, by_marks: bool) -> None:
-    """Removes boilerplate; marked wrappers of an article, and an article's own header, stay."""
-    nodes = ordered(root)
-    wraps = set()
+def pruned(root: Node) -> None:
+    """Removes elements of a kind or role that is never article text; an article's own header stays."""
+    gone = {
+        id(n) for n in ordered(root)
+        if n.parent is not None and (n.tag in DROPPED or n.role or n.tag == "header" and n.within(CONTENT) is None)
+    }
+    for parent in {id(n.parent): n.parent for n in ordered(root) if id(n) in gone}.values():
+        parent.children = [c for c in parent.children if id(c) not in gone]
+
+
+def inherited(nodes: list[Node]) -> None:
+    """Hands weights down; names on what holds every landmark of the page do not count."""
+    inside: dict[int, bool] = {}
+    held: Counter = Counter()
+    landmarks = 0
     for node in nodes:
-        if node.tag in CONTENT:
-            while node is not None and id(node) not in wraps:
-                wraps.add(id(node))
-                node = node.parent
-    gone = set()
+        above = node.parent is not None and inside[id(node.parent)]
+        inside[id(node)] = above or node.tag == "article"
+        if node.tag == "article" and above:
+            node.weight = min(node.weight, LOWERED)
+        if node.tag in ("main", "h1") and not above or node.tag == "article" and not above and node.weight == 1.0:
+            landmarks += 1
+            held[id(node)] += 1
+    for node in reversed(nodes):
+        if node.parent is not None:
+            held[id(node.parent)] += held[id(node)]
     for node in nodes:
-        if node.parent is None or node.tag in CONTENT or node.tag == "body" or id(node) in wraps:
-            continue
-        if node.tag in DROPPED or by_marks and node.marked or node.tag == "header" and node.within(CONTENT) is None:
-            gone.add(id(node))
-    for parent in {id(n.parent): n.parent for n in nodes if id(n) in gone}.values():
-        parent.children = [c for c in parent.children if id(c) not in gone]
+        own = 1.0 if landmarks and held[id(node)] == landmarks else node.weight
+        node.weight = min(own, node.parent.weight) if node.parent is not None else own
 
 
 def measured(root: Node) -> list[Node]:
@@ -209,9 +238,9 @@ def weighed(nodes: list[Node], link_share: float) -> None:
         plain = (chars - node.link_chars) or 1
         base = math.log(math.log(chars / plain * node.link_chars + link_share * chars + math.e))
         ratio = math.log(max(chars / (node.link_chars or 1) * tags / (node.link_tags or 1), 1.0))
-        node.density = chars / tags * (ratio / base if base > 1e-9 else 1.0)
+        node.density = node.weight * chars / tags * (ratio / base if base > 1e-9 else 1.0)
     for node in nodes:
-        node.total = sum(c.density for c in node.children if isinstance(c, Node))
+        node.total = sum(c.density for c in node.children if isinstance(c, Node)) * (RAISED if node.tag in CONTENT else 1.0)
 
 
 def value(node: Node) -> float:
@@ -231,54 +260,91 @@ def best_below(nodes: list[Node]) -> dict[int, Node]:
     return best
 
 
-def chosen(root: Node, link_share: float) -> list[Node]:
-    """The subtrees that hold the article, in page order."""
+def chosen(root: Node, link_share: float) -> tuple[list, float]:
+    """What makes up the article, in page order, and the threshold."""
     nodes = measured(root)
+    inherited(nodes)
     weighed(nodes, link_share)
     body = next((n for n in nodes if n.tag == "body"), root)
     if not body.chars:
-        return [root]
+        return [root], 0.0
+    articles = [n for n in nodes if n.tag in CONTENT and n.weight == 1.0]
+    if articles and not any(n.chars for n in articles):
+        return [], 0.0
     below = best_below(nodes)
     best = below[id(body)]
-    around = best.within(CONTENT)
-    if around is not None:
-        return [around]
-    inside = [n for n in ordered(best) if n.tag in CONTENT and n.chars]
-    if inside:
-        return [max(inside, key=value)]
-    threshold, node = best.density, best
+    # Names weigh against the best subtree only: if that is lowered itself, nothing gains by it.
+    seen = {id(n): n.density * min(1.0, best.weight / n.weight) for n in nodes}
+    threshold, sparse, node = best.density, best.chars, best
     while node is not None and node is not body.parent:
-        threshold, node = min(threshold, node.density), node.parent
+        threshold, sparse, node = min(threshold, seen[id(node)]), min(sparse, node.chars / (node.tags or 1)), node.parent
     kept = {id(best)}
     todo = [c for c in body.children if isinstance(c, Node)]
     while todo:
         node = todo.pop()
-        if node.density >= threshold and node.tag not in INLINE:
+        # With few characters the logarithm's base nears 1 and lifts any density, so the plain one counts too.
+        dense = node.chars / (node.tags or 1) >= SLACK * sparse
+        if dense and node.tag not in INLINE and seen[id(node)] >= (threshold if node.total else max(threshold, best.density)):
             kept.add(id(below[id(node)]))
         todo += [c for c in node.children if isinstance(c, Node)]
-    result, todo = [], [root]
-    while todo:
-        node = todo.pop()
-        if id(node) in kept:
-            result.append(node)
-        else:
-            todo += [c for c in reversed(node.children) if isinstance(c, Node)]
-    return result
+    return whole(root, body, kept, threshold), threshold
 
 
-def text_of(nodes: list[Node]) -> str:
-    """Text of the subtrees: white space to one space, blocks parted by one space."""
+def whole(root: Node, body: Node, kept: set[int], threshold: float) -> list:
+    """The children, of the node that holds all of ``kept``, that span them and what belongs to them."""
+    holds: Counter = Counter()
+    nodes = ordered(root)
+    for node in reversed(nodes):
+        holds[id(node)] += id(node) in kept
+        if node.parent is not None:
+            holds[id(node.parent)] += holds[id(node)]
+    around = root
+    while id(around) not in kept:
+        inner = next((c for c in around.children if isinstance(c, Node) and holds[id(c)] == holds[id(root)]), None)
+        if inner is None:
+            break
+        around = inner
+    if id(around) in kept:
+        if around in (body, root):
+            start = next((i for i, c in enumerate(around.children) if isinstance(c, Node) and c.tag == "h1"), 0)
+            return [c for i, c in enumerate(around.children) if i >= start or not isinstance(c, str) and c.density >= threshold]
+        if around.parent is None:
+            return [around]
+        inner, around = around, around.parent
+        first = last = next(i for i, c in enumerate(around.children) if c is inner)
+    else:
+        spots = [i for i, c in enumerate(around.children) if isinstance(c, Node) and holds[id(c)]]
+        first, last = spots[0], spots[-1]
+    at = first - 1
+    while at >= 0 and _prose(around.children[at]):
+        if isinstance(around.children[at], Node) and around.children[at].tag in HEADINGS:
+            first = at
+        at -= 1
+    while around not in (body, root) and last + 1 < len(around.children) and _prose(around.children[last + 1]):
+        last += 1
+    return around.children[first:last + 1]
+
+
+def _prose(child) -> bool:
+    return not child.strip() if isinstance(child, str) else child.tag in PROSE
+
+
+def text_of(nodes: list, threshold: float = 0.0) -> str:
+    """Text of the subtrees without lowered parts that miss the threshold: white space to one space, blocks parted by one space."""
     out: list[str] = []
-    todo: list = list(reversed(nodes))
+    usual = max((n.weight for n in nodes if isinstance(n, Node)), default=1.0)
+    todo: list = [(n, usual) for n in reversed(nodes)]
     while todo:
-        item = todo.pop()
+        item, above = todo.pop()
         if isinstance(item, str):
             out.append(item)
             continue
+        if item.weight < above and item.density < SLACK * threshold:
+            continue
         parts = item.tag not in INLINE
         if parts:
-            todo.append(" ")
-        todo += reversed(item.children)
+            todo.append((" ", above))
+        todo += [(c, item.weight) for c in reversed(item.children)]
         if parts:
             out.append(" ")
     return " ".join("".join(out).split())
@@ -287,15 +353,11 @@ def text_of(nodes: list[Node]) -> str:
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    text = ""
-    for by_marks in (True, False):
-        root = parsed(page)
-        whole = measured(root)[0]
-        pruned(root, by_marks)
-        text = text_of(chosen(root, whole.link_chars / (whole.chars or 1)))
-        if text:
-            break
-    return text
+    root = parsed(page)
+    every = measured(root)[0]
+    share = every.link_chars / (every.chars or 1)
+    pruned(root)
+    return text_of(*chosen(root, share))
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
