@@ -5,11 +5,14 @@ subsequences of three characters whose neighbours are at most ``SPAN`` places ap
 weighted by ``DECAY`` to the length it spans, and the kernel is the cosine of these. A word with
 inserted, left out or exchanged characters still shares most subsequences with its original.
 
-Landmarks are words of toxic training documents that hardly occur in clean ones. A document's
-kernel with a landmark is the largest among its words, so one insult counts in a text of any
-length. Nyström's map (the inverse root of the landmarks' own kernel matrix) turns these values
-into features of a linear SVM, whose margin a logistic curve, fitted on the same documents,
-turns into a score.
+Landmarks are words, and beginnings of words, that stand in more of the toxic training documents
+than chance explains: by ``LEAST_Z`` standard errors and ``LEAST_RATIO`` times as often. They are
+taken by falling significance, none too like one taken before. A document gives two values per
+landmark: the largest kernel among its words, so that one insult counts in a text of any length,
+and the kernels of all its words, repeats included, held against its length, for insults that are
+made of common parts and tell only by their number. Nyström's map (the inverse root of the
+landmarks' own kernel matrix) turns both into features of a linear SVM, whose margin a logistic
+curve, fitted on the same documents, turns into a score.
 
 Words are cut at white space, lower-cased, stripped of marks at both ends and read with common
 character swaps undone; runs of single characters are joined to a word as well. Long words are
@@ -25,6 +28,7 @@ twice is toxic if any label says so.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,14 +39,20 @@ from tidemark.llm.common import slices, stored
 
 TRAINING_ROWS = 20_000
 LANDMARKS = 160
-# A landmark stands in at least so many toxic documents of the training rows, and in clean
-# ones at most a tenth as often, relative to their numbers.
-LEAST_TOXIC = 3
+# A landmark stands in at least so many toxic documents of the training rows; their number lies so
+# many standard errors above what the share of all documents gives, and is so many times that of
+# clean ones, relative to the numbers of both. So many candidates are looked at, by significance.
+LEAST_TOXIC, LEAST_Z, LEAST_RATIO = 3, 5.0, 3.0
+CANDIDATES, ALIKE = 4_000, 0.8
+# Beginnings of words that are candidates, by length.
+STEMS = (5, 6, 7, 8)
+# Kernels count for half of what they can when they sum up to one and this share of the words.
+RATE = 0.01
 SPAN, DECAY = 2, 0.6
 WORD, OVERLAP = 24, 12
 SHORT = 10
 # Kernel values below this count as none: unrelated words of one language reach it by chance.
-FLOOR = 0.35
+FLOOR = 0.5
 CACHED_WORDS = 150_000
 THRESHOLD = 0.3
 HELD_OUT = "pmod(crc32(cast(cast(doc_id as string) as binary)), 4) = 2"
@@ -54,12 +64,16 @@ _EDGES = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *rang
 _GAPS = [(a, b) for a in range(1, SPAN + 1) for b in range(1, SPAN + 1)]
 
 
-def words_of(text: str | None) -> set[str]:
-    """Distinct words of a text, and its joined runs of single characters."""
+def words_of(text: str | None) -> dict[str, int]:
+    """Words of a text and its joined runs of single characters, with their numbers."""
     lowered = (text or "").lower()
-    found = {w.rstrip(",.;:") for w in set(lowered.split())}
+    found: dict[str, int] = {}
+    for word, n in Counter(lowered.split()).items():
+        word = word.rstrip(",.;:")
+        found[word] = found.get(word, 0) + n
     for run in _SINGLES.findall(lowered):
-        found.add("".join(run.split()))
+        word = "".join(run.split())
+        found[word] = found.get(word, 0) + 1
     return found
 
 
@@ -174,12 +188,15 @@ class Reader:
             self.known, self.rows = {}, self.rows[:1]
         for start in range(0, len(fresh), 8_000):
             self._learn(fresh[start:start + 8_000])
-        result = np.zeros((len(texts), len(self.landmarks.words)), np.float32)
+        size = len(self.landmarks.words)
+        result = np.zeros((len(texts), 2 * size), np.float32)
         for i, words in enumerate(documents):
-            at = {self.known[w] for w in words}
-            at.discard(0)
-            for k in at:
-                np.maximum(result[i], self.rows[k], out=result[i])
+            hits = [(at, n) for at, n in ((self.known[w], n) for w, n in words.items()) if at]
+            if hits:
+                rows = np.stack([self.rows[at] for at, _ in hits])
+                sums = np.array([n for _, n in hits], np.float32) @ rows
+                result[i, :size] = rows.max(axis=0)
+                result[i, size:] = sums / (sums + 1 + RATE * sum(words.values()))
         return result
 
     def _learn(self, words: list[str]) -> None:
@@ -216,9 +233,10 @@ class Model:
         own = landmarks.kernel(characters(landmarks.words)).astype(np.float64)
         values, base = np.linalg.eigh((own + own.T) / 2)
         root = base @ np.diag(1 / np.sqrt(np.maximum(values, 1e-3))) @ base.T
-        mapped = features.astype(np.float64) @ root
+        size = len(landmarks.words)
+        mapped = np.hstack([features[:, :size].astype(np.float64) @ root, features[:, size:].astype(np.float64) @ root])
         weights, self.bias = svm(mapped, toxic)
-        self.landmarks, self.weights = landmarks, root @ weights
+        self.landmarks, self.weights = landmarks, np.concatenate([root @ weights[:size], root @ weights[size:]])
         self.slope, self.shift = logistic(self.margin(features), toxic)
 
     def plain(self) -> tuple:
@@ -286,7 +304,8 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct landmark candidates of each document."""
     for batch in slices(batches):
         for label, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist()):
-            words = sorted({p for w in words_of(text) for p in parts_of(w)})
+            parts = {p for w in words_of(text) for p in parts_of(w)}
+            words = sorted(parts | {p[:n] for p in parts for n in STEMS if len(p) > n})
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([label] * len(words), pa.int32())], ["word", "toxic"])
 
 
@@ -299,6 +318,17 @@ def _featurizer(shared):
     return run
 
 
+def unlike(words: list[str]) -> list[str]:
+    """At most ``LANDMARKS`` of ``words``, in order, without those too like one taken before."""
+    found, taken = vectors(characters(words)) if words else [], []
+    for i, own in enumerate(found):
+        if len(taken) == LANDMARKS:
+            break
+        if own and all(sum(v * found[j].get(c, 0.0) for c, v in own.items()) < ALIKE for j in taken):
+            taken.append(i)
+    return [words[i] for i in taken]
+
+
 def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     """Fits the model, or returns None if the labels do not show both kinds."""
     sample = F.broadcast(stored(training_rows(docs, labels), "toxicity-sample"))  # at most TRAINING_ROWS ids
@@ -308,8 +338,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Model | None:
     if not kinds.get(0) or not kinds.get(1):
         return None
     counts = texts.mapInArrow(_tokens, "word string, toxic int").groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
-    picked = counts.where(f"bad >= {LEAST_TOXIC} AND good * {10.0 / kinds[0]} <= bad * {1.0 / kinds[1]}")
-    words = [r["word"] for r in picked.orderBy(F.desc("bad"), "good", "word").limit(LANDMARKS).collect()]
+    share = F.expr(f"(bad + good) / {float(kinds[0] + kinds[1])}")
+    error = F.sqrt(kinds[1] * share * (1 - share) + 1e-9)
+    picked = counts.withColumn("z", F.round((F.col("bad") - kinds[1] * share) / error, 6))
+    picked = picked.where(f"bad >= {LEAST_TOXIC} AND z >= {LEAST_Z} AND bad * {kinds[0]}D >= {LEAST_RATIO} * good * {kinds[1]}D")
+    words = unlike([r["word"] for r in picked.orderBy(F.desc("z"), "word").limit(CANDIDATES).collect()])
     if not words:
         return None
     shared = docs.sparkSession.sparkContext.broadcast(words)
