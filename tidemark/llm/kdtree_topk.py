@@ -26,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.common import stored
+from tidemark.llm.common import small, stored
 
 SHARD_ROWS = 4_096
 BLOCK_QUERIES = 512
@@ -252,14 +252,14 @@ def _router(shared, first: bool):
 
 
 def _spread(rows: DataFrame, size: int) -> DataFrame:
-    """Deals the rows of each region by hash to parts of about ``size``."""
-    parts = rows.groupBy("dims", "region").agg(F.ceil(F.count("*") / size).alias("parts"))
-    return rows.join(parts, ["dims", "region"]).withColumn("part", F.expr("pmod(spread, parts)"))
+    """Deals the rows of each region by hash to cells of about ``size``, a key of their own: a region's lie in many tasks."""
+    parts = small(stored(rows.groupBy("dims", "region").agg(F.ceil(F.count("*") / size).alias("parts")), "knn-parts"))
+    return rows.join(parts, ["dims", "region"]).withColumn("cell", F.expr("concat_ws('/', dims, region, pmod(spread, parts))"))
 
 
 def _hits(routed: DataFrame, trees: DataFrame, k: int, label: str) -> DataFrame:
     """Best scores of routed queries within their regions; tasks grow with the number of query blocks."""
-    packs = stored(_spread(routed, BLOCK_QUERIES).groupBy("dims", "region", "part").applyInPandas(_query_part, PACKS), f"knn-{label}-queries")
+    packs = stored(_spread(routed, BLOCK_QUERIES).groupBy("cell").applyInPandas(_query_part, PACKS), f"knn-{label}-queries")
     pairs = packs.join(trees.select("dims", "region", "tree"), ["dims", "region"]).select("tree", "block")
     number, cores = packs.count(), routed.sparkSession.sparkContext.defaultParallelism
     tasks = max(1, -(-number // 8), min(number, 4 * cores))
@@ -302,7 +302,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, column: str = "em
     asked = stored(usable(queries, column, scale).withColumn("spread", spread), "knn-asked")
     splits = fitted(points)
     dealt = stored(points.mapInPandas(_dealer(context.broadcast(splits)), ROWS), "knn-dealt")
-    trees = stored(_spread(dealt, SHARD_ROWS).groupBy("dims", "region", "part").applyInPandas(_tree_part, TREES), "knn-trees")
+    trees = stored(_spread(dealt, SHARD_ROWS).groupBy("cell").applyInPandas(_tree_part, TREES), "knn-trees")
     boxes = context.broadcast(boxes_of(trees, [d for d in splits if d]))
     routed = asked.mapInPandas(_router(boxes, True), ROWS).withColumn("kth", F.lit(None).cast("long"))
     first = _hits(routed, trees, k, "first")
