@@ -15,18 +15,22 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose text is not told toxic; null and empty texts stay, repeated rows share one fate."""
     return toxicity.without_toxic(docs.select(COLUMNS), table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates; documents without words stay."""
     return minmax_dedup.keep_representatives(docs.select(COLUMNS))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows without a benchmark item; all, if the benchmark is empty."""
     return qgram_decontamination.decontaminated(docs.select(COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """As many copies of each document as its source's rate draws, in a global shuffle; null is a source."""
     return poisson_mix.mixed(docs.select(COLUMNS)).select(COLUMNS)
 
 
