@@ -285,7 +285,7 @@ def test_queries_run_where_workers_lack_the_package(tmp_path):
     import subprocess
     import sys
 
-    names = ["op8_url_rules", "op10_toxicity", "op11_simhash_dedup", "op12_importance_resampling", "op13_collocations", "op1_html_text"]
+    names = ["op8_url_rules", "op10_toxicity", "op11_simhash_dedup", "op12_importance_resampling", "op13_collocations", "op1_html_text", "op9_kdtree_topk"]
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     child = tmp_path / "child.py"
     child.write_text(_CHILD)
@@ -296,7 +296,7 @@ def test_queries_run_where_workers_lack_the_package(tmp_path):
     )
     assert done.returncode == 0, done.stderr[-2000:] + done.stdout[-500:]
     counts = json.loads(done.stdout.strip().splitlines()[-1])
-    assert counts["op10_toxicity"] == counts["op11_simhash_dedup"] == counts["op12_importance_resampling"] > 0 and counts["op8_url_rules"] > 0
+    assert counts["op10_toxicity"] == counts["op11_simhash_dedup"] == counts["op12_importance_resampling"] > 0 and counts["op8_url_rules"] > 0 and counts["op9_kdtree_topk"] > 0
 
 
 # --- repeated ids ---
