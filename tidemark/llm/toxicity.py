@@ -54,6 +54,8 @@ SHORT = 10
 # Kernel values below this count as none: unrelated words of one language reach it by chance.
 FLOOR = 0.5
 CACHED_WORDS = 150_000
+# So many words are held against all landmarks at once (30 MB).
+KERNEL_ROWS = 500
 THRESHOLD = 0.3
 HELD_OUT = "pmod(crc32(cast(cast(doc_id as string) as binary)), 4) = 2"
 
@@ -142,8 +144,8 @@ class Landmarks:
         out = np.zeros((len(chars), len(self.words)), np.float32)
         least = np.sqrt((codes > 0) @ (weights ** 2))
         near = np.flatnonzero(self.most[codes] @ weights >= FLOOR * least)
-        for start in range(0, len(near), 2000):
-            at = near[start:start + 2000]
+        for start in range(0, len(near), KERNEL_ROWS):
+            at = near[start:start + KERNEL_ROWS]
             at = at[least[at] > 0]
             rows = self.row[codes[at]]
             word, place = np.nonzero(rows)
