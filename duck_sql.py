@@ -110,6 +110,11 @@ _VIEWS: dict[str, str] = {
     "g_apps": """
         SELECT s_apps.*, req_credit_limit / annual_income AS req_income_ratio
         FROM s_apps WHERE applicant_age >= 18 AND req_credit_limit <= annual_income * 1.5::DOUBLE""",
+    # --- applications in two runs, those of even days first; a day of the second that ended 2 hours before the last of them is late ---
+    "late_apps": """
+        SELECT *, day(timestamp) % 2 = 1 AND date_trunc('day', timestamp) + INTERVAL 1 DAY
+               <= (SELECT max(timestamp) FROM g_apps WHERE day(timestamp) % 2 = 0) - INTERVAL 2 HOUR AS late
+        FROM g_apps WHERE req_income_ratio > 0.6::DOUBLE""",
     "g_txns": """
         SELECT t.txn_id, t.account_id, t.amount, t.timestamp, t.location, a.approved_limit,
                t.amount / a.approved_limit AS txn_limit_ratio
@@ -416,6 +421,11 @@ _QUERIES: dict[str, str] = {
     "stream_txn_features": _TXN_FEATURES,
     "stream_txn_anomalies_daily": _TXN_ANOMALIES,
     "stream_gold_accounts": _GOLD_ACCOUNTS,
+    "stream_app_anomalies_replayed": f"""
+        SELECT {_DAY} AS date, count(*) AS app_anomalies_count, CAST(sum(CASE WHEN late THEN 1 ELSE 0 END) AS BIGINT) AS late_app_anomalies_count
+        FROM (SELECT CAST(timestamp AS DATE) AS date, late FROM late_apps) GROUP BY date""",
+    "stream_app_anomalies_late_rows": """
+        SELECT app_id, strftime(timestamp, '%Y-%m-%d %H:%M:%S') AS applied, req_income_ratio FROM late_apps WHERE late""",
 }
 
 

@@ -14,6 +14,7 @@ from tidemark.session import scratch_dir, settings
 from tidemark.sources.drift import check_drift, widened
 from tidemark.sources.landing import bronze_stream, land
 from tidemark.streaming.delta import MAP_CELLS, DeltaJoin, delta_join, key_map, may_match
+from tidemark.streaming.late import daily_counts, daily_totals, late_rows
 from tidemark.streaming.sinks import count_rules, latest, observed_totals, per_batch, read_batches, rule_totals
 
 GOLD_APPS = "timestamp timestamp, req_income_ratio double"
@@ -263,3 +264,59 @@ def test_a_failed_batch_run_again_leaves_no_doubles(spark, tmp_path):
         per_batch(_source(spark, tmp_path, "apps", schema), f"{tmp_path}/out", f"{tmp_path}/c", step).awaitTermination()
     per_batch(_source(spark, tmp_path, "apps", schema), f"{tmp_path}/out", f"{tmp_path}/c", step).awaitTermination()
     assert rows(read_batches(spark, f"{tmp_path}/out"), "app_id") == [("1",), ("2",)]
+
+
+def _counted(spark, folder, *batches, delay="2 hours", name="daily"):
+    """Each batch of (moment, ratio) is landed and taken in by a run of its own."""
+    for i, batch in enumerate(batches):
+        moments = [(ts(m) if m else None, r) for m, r in batch]
+        spark.createDataFrame(moments, GOLD_APPS).coalesce(1).write.parquet(f"{folder}/landed/{i:03d}-{name}")
+        source = spark.readStream.schema(GOLD_APPS).option("recursiveFileLookup", "true").parquet(f"{folder}/landed")
+        daily_counts(source, F.col("req_income_ratio") > 0.6, delay, f"{folder}/{name}", f"{folder}/checkpoint").awaitTermination()
+    return f"{folder}/{name}"
+
+
+def _totals(spark, path, **how):
+    return [tuple(r) for r in daily_totals(spark, path, "n", **how).orderBy("date").collect()]
+
+
+def test_late_rows_are_kept_counted_and_replayed(spark, tmp_path):
+    path = _counted(
+        spark, tmp_path,
+        [("2024-01-01 10:00:00", 0.9), ("2024-01-03 01:00:00", 0.9)],
+        [("2024-01-01 11:00:00", 0.9), ("2024-01-01 12:00:00", 0.1), ("2024-01-02 11:00:00", 0.9), (None, 0.9)],
+        [("2024-01-03 02:00:00", 0.9)],
+    )
+    first, second, third = (date(2024, 1, d) for d in (1, 2, 3))
+    # the second day ended one hour before the latest row: still open; the first day is closed
+    assert _totals(spark, path) == [(None, 1, 0), (first, 2, 1), (second, 1, 0), (third, 2, 0)]
+    assert _totals(spark, path, replay=False) == [(None, 1, 0), (first, 1, 1), (second, 1, 0), (third, 2, 0)]
+    kept = late_rows(spark, path).collect()
+    assert [(r["timestamp"], r["batch_id"]) for r in kept] == [(ts("2024-01-01 11:00:00"), 1)]
+
+
+def test_rows_that_do_not_count_move_the_bound(spark, tmp_path):
+    path = _counted(spark, tmp_path, [("2024-01-09 10:00:00", 0.1)], [("2024-01-01 10:00:00", 0.9)])
+    assert _totals(spark, path) == [(date(2024, 1, 1), 1, 1)]
+
+
+def test_a_longer_delay_leaves_none_late_and_totals_equal_a_batch(spark, tmp_path):
+    batches = [[(f"2024-01-{d:02d} {h:02d}:00:00", 0.9)] for d, h in ((9, 1), (2, 2), (5, 3), (2, 23))]
+    path = _counted(spark, tmp_path, *batches, delay="10 days")
+    assert [n for _, _, n in _totals(spark, path)] == [0, 0, 0] and late_rows(spark, path).count() == 0
+    strict = _counted(spark, tmp_path / "strict", *batches)
+    apps = spark.createDataFrame([(ts(m), r) for batch in batches for m, r in batch], GOLD_APPS)
+    batch = [tuple(r) for r in app_anomalies_daily(apps).orderBy("date").collect()]
+    assert [t[:2] for t in _totals(spark, strict)] == batch == [t[:2] for t in _totals(spark, path)]
+    assert sum(n for _, _, n in _totals(spark, strict)) == 3 == late_rows(spark, strict).count()
+
+
+def test_a_batch_run_again_counts_once(spark, tmp_path):
+    path = _counted(spark, tmp_path, [("2024-01-09 10:00:00", 0.9)], [("2024-01-01 10:00:00", 0.9)])
+    # as after a stop between the sink's write and its commit
+    for log in (tmp_path / "checkpoint" / "commits").glob("*1*"):
+        log.unlink()
+    source = spark.readStream.schema(GOLD_APPS).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/landed")
+    daily_counts(source, F.col("req_income_ratio") > 0.6, "2 hours", path, f"{tmp_path}/checkpoint").awaitTermination()
+    assert _totals(spark, path) == [(date(2024, 1, 1), 1, 1), (date(2024, 1, 9), 1, 0)]
+    assert late_rows(spark, path).count() == 1

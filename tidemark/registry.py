@@ -18,9 +18,10 @@ from tidemark.plans.metrics import Bronze, daily_metrics_in_one_pass, gold_daily
 from tidemark.plans.pipeline import Config, Pipeline
 from tidemark.session import scratch_dir, settings, stream_settings
 from tidemark.sources import sample
-from tidemark.sources.landing import land, with_date
+from tidemark.sources.landing import bronze_stream, land, with_date
 from tidemark.sources.ledger import FileLedger
 from tidemark.streaming.delta import delta_join
+from tidemark.streaming.late import daily_counts, daily_totals, late_rows
 from tidemark.streaming.sinks import latest, per_batch, read_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -198,6 +199,26 @@ def _stream_gold_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_batches(spark, f"{out}/table")
 
 
+def _late_app_anomalies(spark: SparkSession, sf_dir: str) -> str:
+    """Applications landed and streamed in two runs, those of even days first: most odd days come too late."""
+    out = scratch_dir(spark, "late")
+    applied = sample.applications(sample.load(spark, sf_dir, "orders"))
+    for number, part in enumerate(("hist", "live")):
+        land(applied.filter(F.day("timestamp") % 2 == number), f"{out}/landing", part, "timestamp")
+        apps = gold.gold_applications(silver.silver_applications(bronze_stream(spark, f"{out}/landing", applied.schema, load_ts=F.col("_load_timestamp"))))
+        flagged = F.col("req_income_ratio") > C.APP_ANOMALY_RATIO
+        daily_counts(apps, flagged, C.WATERMARK_DELAY, f"{out}/daily", f"{out}/checkpoint").awaitTermination()
+    return f"{out}/daily"
+
+
+def _stream_late_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_totals(spark, _late_app_anomalies(spark, sf_dir), "app_anomalies_count")
+
+
+def _stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return late_rows(spark, _late_app_anomalies(spark, sf_dir)).selectExpr("app_id", "string(timestamp) AS applied", "req_income_ratio")
+
+
 # --- From landing folders on ---
 
 
@@ -252,6 +273,8 @@ _STREAM: dict[str, Query] = {
     "stream_txn_features": _stream_txn_features,
     "stream_txn_anomalies_daily": _stream_txn_anomalies,
     "stream_gold_accounts": _stream_gold_accounts,
+    "stream_app_anomalies_replayed": _stream_late_totals,
+    "stream_app_anomalies_late_rows": _stream_late_rows,
 }
 
 
