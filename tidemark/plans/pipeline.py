@@ -18,7 +18,7 @@ from tidemark.operators.rules import mark_failures
 from tidemark.plans.gold import BUSINESS_RULES, gold_accounts, gold_transaction_features, with_income_ratio
 from tidemark.plans.metrics import Bronze, daily_metrics_in_one_pass
 from tidemark.plans.silver import checked, technical_rules
-from tidemark.session import settings, stream_settings
+from tidemark.session import WRITE_SETTINGS, settings, stream_settings, together
 from tidemark.sources.landing import bronze
 from tidemark.sources.ledger import FileLedger
 from tidemark.sources.tables import CLEAN, OUTCOME, TableStore, register_table, with_outcome
@@ -93,7 +93,8 @@ class Pipeline:
         before = self.store
         self._use(mode)
         try:
-            yield
+            with settings(self.spark, WRITE_SETTINGS):
+                yield
         except BaseException:
             self.store = before
             raise
@@ -159,14 +160,23 @@ class Pipeline:
 
     def _rebuild(self) -> None:
         write, read = self.store.write, self.table
-        for entity in C.ENTITIES:
-            write(self._bronze(entity, False), f"bronze_{entity}", ("date",))
+        landed = {e: self._bronze(e, False) for e in C.ENTITIES}  # one after the other: all write to the ledger
+
+        def bronze_and_silver(entity: str) -> None:
+            write(landed[entity], f"bronze_{entity}", ("date",))
             rows = checked(entity, self.store.read(f"bronze_{entity}"), self._rules(entity))
             write(with_outcome(rows), f"silver_{entity}", (OUTCOME, "date"))
-        write(self._gold_apps(read("silver_applications")), "gold_applications", (OUTCOME, "date"))
-        write(gold_accounts(read("silver_accounts"), read("gold_applications")), "gold_accounts")
-        features = self._gold_txn(read("silver_transactions"), read("silver_accounts"))
-        write(features, "gold_transaction_features", ("date",), balance=True)
+
+        def applications_and_accounts() -> None:
+            write(self._gold_apps(read("silver_applications")), "gold_applications", (OUTCOME, "date"))
+            write(gold_accounts(read("silver_accounts"), read("gold_applications")), "gold_accounts")
+
+        def features() -> None:
+            joined = self._gold_txn(read("silver_transactions"), read("silver_accounts"))
+            write(joined, "gold_transaction_features", ("date",), balance=True)
+
+        together(bronze_and_silver, C.ENTITIES)
+        together(lambda step: step(), (features, applications_and_accounts))
         self.refresh_metrics()
 
     def run_stream(self) -> None:

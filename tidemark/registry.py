@@ -16,7 +16,7 @@ from tidemark.operators.rules import FAILED, apply_rules
 from tidemark.plans import gold, reports, silver
 from tidemark.plans.metrics import Bronze, daily_metrics_in_one_pass, gold_daily_metrics
 from tidemark.plans.pipeline import Config, Pipeline
-from tidemark.session import scratch_dir, settings, stream_settings
+from tidemark.session import WRITE_SETTINGS, scratch_dir, settings, stream_settings, together
 from tidemark.sources import sample
 from tidemark.sources.landing import bronze_stream, land, with_date
 from tidemark.sources.ledger import FileLedger
@@ -224,10 +224,13 @@ def _stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _land_sample(spark: SparkSession, sf_dir: str, landing: str, part: str, kept: Callable[[str], Column]) -> None:
     """Land the sample inputs' rows that ``kept`` picks for their entity."""
-    for entity, df in sample.Funnel(spark, sf_dir).items():
+    def landed(item: tuple[str, DataFrame]) -> None:
+        entity, df = item
         typed = df.select(*[F.col(f.name).cast(f.dataType) for f in C.contract(entity)], F.col("_load_timestamp").cast("timestamp"))
         land(typed.filter(kept(entity)), f"{landing}/{entity}", part, C.event_time(entity))
 
+    together(landed, sample.Funnel(spark, sf_dir).items())
+
 
 def _sample_config(spark: SparkSession) -> Config:
     out = scratch_dir(spark, "landed")
@@ -298,7 +301,7 @@ def _stream_query(build: Query) -> Query:
 def _landed_query(build: Query) -> Query:
     @wraps(build)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        with settings(spark, {"spark.sql.session.timeZone": "UTC"}):
+        with settings(spark, {"spark.sql.session.timeZone": "UTC", **WRITE_SETTINGS}):
             return comparable(build(spark, sf_dir), 6)
 
     return run

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
@@ -28,6 +30,11 @@ STREAM_SETTINGS = {
 }
 
 
+# A task whose rows go to no more folders than this keeps a file open in each and needs no sort of
+# whole rows, which spills once they outgrow its memory; beyond that Spark sorts the rest.
+WRITE_SETTINGS = {"spark.sql.maxConcurrentOutputFileWriters": "100"}
+
+
 def stream_settings(spark: SparkSession) -> dict[str, str]:
     """``STREAM_SETTINGS``, and on a single machine no more state partitions than cores.
 
@@ -81,6 +88,16 @@ def settings(spark: SparkSession, values: dict[str, str]):
                 spark.conf.set(key, value)
 
 
+def together(step: Callable, items: Iterable) -> list:
+    """``step`` for each item at once: the jobs of one take the cores that the last tasks of another leave idle.
+
+    Session settings hold for all of them, so ``step`` must not change any.
+    """
+    items = list(items)
+    with ThreadPoolExecutor(len(items)) as pool:
+        return list(pool.map(step, items))
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder.
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tidemark import contracts as C
+from tidemark.functions import event_day
 from tidemark.sources.drift import read_merged, widened
 from tidemark.sources.ledger import FileLedger
 
@@ -40,7 +41,7 @@ def land(df: DataFrame, path: str, suffix: str, ts_col: str, balance: bool = Tru
     """
     if df.isEmpty():
         return False
-    dated = with_date(df, ts_col)
+    dated = df.withColumn("date", event_day(ts_col))  # a folder is named as the date is written
     if balance:
         dated = dated.hint("rebalance", "date")
     dated.write.mode("append").partitionBy("date").parquet(f"{path.rstrip('/')}/{suffix}")
