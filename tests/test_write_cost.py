@@ -2,6 +2,8 @@
 
 import pytest
 from helpers import table
+from pyspark.sql import functions as F
+
 from tidemark import contracts as C
 from tidemark.plans.pipeline import Config, Pipeline
 from tidemark.sources.landing import land
@@ -32,3 +34,16 @@ def test_dated_tables_are_written_without_a_sort(spark, config):
     assert len(writes) >= 9 and not any(") Sort" in p for p in writes)
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
     assert pipeline.table("gold_daily_metrics").count() == 1
+
+
+def test_streams_that_do_not_read_each_other_run_at_once(spark, config, monkeypatch):
+    waited, finish = [], Pipeline._finish
+    monkeypatch.setattr(Pipeline, "_finish", lambda self, queries: (waited.append(sorted(queries)), finish(self, queries)))
+    pipeline = Pipeline(spark, config)
+    pipeline.run_stream()
+    entities = sorted(C.ENTITIES)
+    assert waited == [
+        [f"bronze_{e}" for e in entities], [f"silver_{e}" for e in entities], ["gold_applications", "gold_transaction_features"], ["gold_accounts"],
+    ]
+    assert pipeline.table("gold_daily_metrics").select("applications_count", "total_transactions").first() == (2, 4)
+    assert pipeline.table("gold_accounts").agg(F.count("*")).first()[0] == 4

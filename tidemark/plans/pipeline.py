@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -183,7 +184,8 @@ class Pipeline:
         """Take in what has landed since the last run, table by table, then refresh the days it changed.
 
         Each table is a query with a checkpoint of its own and ends when its input is used
-        up, so an upstream table is complete before the next one reads it.
+        up, so an upstream table is complete before the next one reads it. Tables that do not
+        read each other are taken in at once.
         """
         with self._mode(STREAM_MODE):
             with settings(self.spark, stream_settings(self.spark)):
@@ -191,18 +193,33 @@ class Pipeline:
             self.refresh_metrics(only=self.stale_days())
 
     def _take_in(self) -> None:
-        silver = {}
+        landed = {f"bronze_{e}": self._bronze(e, True) for e in C.ENTITIES}
+        self._finish({name: self.store.start(df, name, ("date",)) for name, df in landed.items()})
+        rows = {}
         for entity in C.ENTITIES:
-            raw = self._stream(f"bronze_{entity}", self._bronze(entity, True), ("date",))
+            name = f"bronze_{entity}"
+            raw = self.store.read_stream(name, landed[name].schema, self.config.max_files)
             counted = count_rules(raw, self._rules(entity), f"silver_{entity}")
-            rows = with_outcome(checked(entity, counted, self._rules(entity)))
-            silver[entity] = self.store.clean(self._stream(f"silver_{entity}", rows, (OUTCOME, "date")))
-        apps = self._stream("gold_applications", self._gold_apps(silver["applications"]), (OUTCOME, "date"))
-        for name, (left, right, columns, key, join) in self._joins().items():
-            sides = silver[left], self.store.clean(apps) if right == "gold_applications" else silver[right]
-            sides = [df.select(*wanted) for df, wanted in zip(sides, columns)]
-            places = self.store.path(name), self.store.joined(name), self.store.checkpoint(name)
-            self._finish(name, delta_join(*sides, key, join, *places, name, () if name in _UNDATED else ("date",)))
+            rows[f"silver_{entity}"] = with_outcome(checked(entity, counted, self._rules(entity)))
+        self._finish({name: self._start_checked(df, name) for name, df in rows.items()})
+        clean = {name.removeprefix("silver_"): self._clean_stream(df, name) for name, df in rows.items()}
+        apps = self._gold_apps(clean["applications"])
+        first = {"gold_transaction_features": self._start_join("gold_transaction_features", clean)}
+        self._finish(first | {"gold_applications": self._start_checked(apps, "gold_applications")})
+        clean["gold_applications"] = self._clean_stream(apps, "gold_applications")
+        self._finish({"gold_accounts": self._start_join("gold_accounts", clean)})
+
+    def _start_checked(self, df: DataFrame, name: str) -> StreamingQuery:
+        return self.store.start(df, name, (OUTCOME, "date"))
+
+    def _clean_stream(self, df: DataFrame, name: str) -> DataFrame:
+        return self.store.clean(self.store.read_stream(name, df.schema, self.config.max_files))
+
+    def _start_join(self, name: str, clean: dict[str, DataFrame]) -> StreamingQuery:
+        left, right, columns, key, join = self._joins()[name]
+        sides = [clean[side].select(*wanted) for side, wanted in zip((left, right), columns)]
+        places = self.store.path(name), self.store.joined(name), self.store.checkpoint(name)
+        return delta_join(*sides, key, join, *places, name, () if name in _UNDATED else ("date",))
 
     def _joins(self) -> dict[str, tuple]:
         """Left and right table, the columns taken of each, key and join of the two gold joins."""
@@ -228,13 +245,17 @@ class Pipeline:
             return DeltaJoin(self.spark, self.store.joined(name), key, join, *(df.schema for df in sides)).waiting()
         return sides[0].join(sides[1].select(key), key, "left_anti")
 
-    def _stream(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
-        self._finish(name, self.store.start(df, name, partition_by))
-        return self.store.read_stream(name, df.schema, self.config.max_files)
-
-    def _finish(self, name: str, query: StreamingQuery) -> None:
-        self.queries[name] = query
-        query.awaitTermination()
+    def _finish(self, queries: dict[str, StreamingQuery]) -> None:
+        """Wait for all of ``queries``, then raise the first error there was: none is left running."""
+        self.queries |= queries
+        errors = []
+        for query in queries.values():
+            try:
+                query.awaitTermination()
+            except StreamingQueryException as error:
+                errors.append(error)
+        if errors:
+            raise errors[0]
 
     def stale_days(self) -> list[date | None] | None:
         """Event days with rows that log and metrics have not seen; None where neither exists yet.
