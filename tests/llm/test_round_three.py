@@ -240,6 +240,36 @@ def test_collocations_against_brute_force(spark, mixed_texts, bits, chunk):
     assert sorted(map(tuple, got.collect())) == brute_collocations(mixed_texts, 3, top=60)
 
 
+def test_text_leaves_the_tasks_by_word_not_by_phrase(spark, monkeypatch):
+    """Every task holds every phrase here; rows with text must not grow with tasks times phrases."""
+    vocabulary = [f"w{i}" for i in range(12)]
+    rng = random.Random(5)
+    rows = [(" ".join(rng.choice(vocabulary) for _ in range(400)), "en") for _ in range(24)]
+    docs = documents(spark, *[(1, text, lang) for text, lang in rows]).repartition(12)
+    texts, apply = {}, type(docs).mapInArrow
+
+    def recorded(self, func, schema, *rest):
+        out = apply(self, func, schema, *rest)
+        if "binary" in schema:
+            texts[schema] = out.count()
+        return out
+
+    monkeypatch.setattr(type(docs), "mapInArrow", recorded)
+    found, _ = phrases.frequent_phrases(spark, docs, 3, 4)
+    counts = Counter(r.words for r in found.collect())
+    assert counts[1] == 12 and counts[2] == 144 and counts[3] > 500
+    assert 0 < sum(texts.values()) <= 12 * len(vocabulary)
+
+
+def test_words_that_share_a_number_get_numbers_of_their_own(spark):
+    rows = [("en", b"rare", 7, 2), ("en", b"often", 7, 40), ("de", b"often", 7, 30), ("en", b"alone", 9, 50), ("en", b"seldom", 8, 1)]
+    counted = spark.createDataFrame([(lang, bytearray(word), number, f) for lang, word, number, f in rows], "lang string, word binary, number long, f long")
+    vocabulary, (shared, renamed) = phrases.numbered_words(spark, counted, 30)
+    assert shared.tolist() == [7] and sorted(renamed) == [("de", b"often"), ("en", b"often")]
+    got = {(r.lang, r.word): r.number for r in vocabulary.collect()}
+    assert got == {("en", "alone"): 9, ("de", "often"): 1 << 31, ("en", "often"): (1 << 31) + 1}
+
+
 def test_collocations_of_nothing(spark):
     docs = documents(spark, (1, None), (2, "a b"))
     assert phrases.collocations(spark, docs).count() == 0 == phrases.collocations(spark, docs.limit(0)).count()

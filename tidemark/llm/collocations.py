@@ -2,23 +2,24 @@
 
 The text is parted into pieces at punctuation and line ends, pieces into words. A prefix
 polynomial over the bytes of a run of texts, wrapping at 64 bits, gives the fingerprint of any
-n-gram from two of its values, so numpy fingerprints every n-gram at once.
+word from two of its values, so numpy fingerprints every word at once.
 
 1. Words: tasks combine (fingerprint, count) and the shuffle sums them. Those that reach
    ``least`` occurrences mark a bit map of fixed size.
-2. Pairs, then longer n-grams: the same for those whose two parts, all but the last and all but
-   the first word, are marked. A phrase is only as frequent as any part of it, so nothing is lost;
-   a bit that two fingerprints share lets a few more through.
-3. Words outside of any marked pair are unmarked again: no phrase holds them.
-4. Phrases: each task takes the marked n-grams. Per n-gram it keeps a count and an occurrence
-   pointer, the place of one occurrence in its text. Occurrences with equal fingerprints are
-   checked against the text at that pointer, word by word; what differs is a collision and gets a
-   pointer of its own. Only here, for the few that may be frequent, pointers turn into text, and
-   the shuffle sums counts by text, which is exact.
+2. Vocabulary: each task takes the marked words. Words with equal fingerprints are checked against
+   the text, character by character; per distinct word an occurrence pointer, the place of one
+   occurrence in its text, is turned into text and the shuffle sums counts by text, which is
+   exact. The top bits of its fingerprint number a word. Words that share a number, collisions, are
+   told apart by their text from here on: the frequent ones get numbers of their own, the others none.
+3. Pairs, then longer n-grams: the key of an n-gram is the polynomial of its words' numbers to
+   the base 2^32, so wide that different n-grams have different keys. Tasks combine (key, count)
+   for n-grams whose two parts, all but the last and all but the first word, are marked, and the
+   shuffle sums them, which is exact. A phrase is only as frequent as any part of it, so nothing
+   is lost; a bit that two n-grams share lets a few more through.
+4. Only the frequent n-grams that are left, once each, are joined with the vocabulary for their text.
 5. Cuts, scores and the test for longer phrases are joins of the frequent phrases with themselves.
 
-Pointers are resolved in the task that found them: sent through the shuffle they would have to be
-joined with whole texts once more.
+Text of single words only leaves the tasks, never that of every phrase from every task that holds it.
 
 Nulls and odd input: a null or blank text has no words; a null ``lang`` counts as ``und``; ids are
 not used, repeated rows count each. An empty table gives an empty result. A text without any
@@ -41,7 +42,9 @@ from tidemark.llm.common import slices, stored
 MAP_BITS = 26
 CHUNK = 1 << 20
 HELD_ROWS = 1 << 20
-HELD_PHRASES = 500_000
+HELD_WORDS = 500_000
+# Words are numbered by so many top bits of their fingerprints; collisions get numbers above those.
+NUMBER_BITS = 31
 LONG_WORD = 64
 # Parts of a language whose best phrases are ranked apart from each other first.
 PARTS = 32
@@ -100,13 +103,13 @@ class Chunk:
             return np.empty(0, np.int64)
         return np.flatnonzero(self.pieces[n - 1:] == self.pieces[:len(self.pieces) - n + 1])
 
-    def fingerprints(self, first: np.ndarray, n: int) -> np.ndarray:
-        start, end = self.starts[first], self.starts[first + n - 1] + self.lengths[first + n - 1]
-        polynomial = (self.prefix[end] - self.prefix[start]) * self.powers.up[start]
-        return mixed((polynomial + np.uint64(n)) ^ self.lang) & self.mask
+    def fingerprints(self) -> np.ndarray:
+        """Of all words."""
+        polynomial = (self.prefix[self.starts + self.lengths] - self.prefix[self.starts]) * self.powers.up[self.starts]
+        return mixed((polynomial + np.uint64(1)) ^ self.lang) & self.mask
 
-    def phrase(self, first: int, n: int) -> bytes:
-        return self.text[self.starts[first]:self.starts[first + n - 1] + self.lengths[first + n - 1]].tobytes()
+    def word(self, at: int) -> bytes:
+        return self.text[self.starts[at]:self.starts[at] + self.lengths[at]].tobytes()
 
     def word_ids(self, fingerprints: np.ndarray) -> np.ndarray:
         """For each word the first one of equal text: fingerprints propose, the text decides."""
@@ -118,10 +121,10 @@ class Chunk:
             left = left[self.lengths[left] > at]
             differs[left] |= self.text[self.starts[left] + at] != self.text[self.starts[ids[left]] + at]
         for word in np.flatnonzero(~differs & (self.lengths > LONG_WORD)):
-            differs[word] = word != ids[word] and self.phrase(word, 1) != self.phrase(ids[word], 1)
+            differs[word] = word != ids[word] and self.word(word) != self.word(ids[word])
         seen: dict[bytes, int] = {}
         for word in np.flatnonzero(differs):
-            ids[word] = seen.setdefault(self.phrase(word, 1), word)
+            ids[word] = seen.setdefault(self.word(word), word)
         return ids
 
 
@@ -160,33 +163,53 @@ def _cut(lang: str, raw: bytes, chunk: int) -> Iterator[tuple[str, bytes]]:
     yield lang, raw[start:]
 
 
+def _summed(keys: list[np.ndarray], counts: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """Distinct keys, whose parts are the given columns, and the sums of their counts (1 each, where none are given)."""
+    if len(keys) == 1 and counts is None:
+        values, counts = np.unique(keys[0], return_counts=True)
+        return [values], counts
+    counts = np.ones(len(keys[0]), np.int64) if counts is None else counts
+    if not len(counts):
+        return keys, counts
+    order = np.lexsort(keys[::-1])
+    keys = [k[order] for k in keys]
+    new = np.concatenate([[True], np.logical_or.reduce([k[1:] != k[:-1] for k in keys])])
+    return [k[new] for k in keys], np.add.reduceat(counts[order], np.flatnonzero(new))
+
+
 class Sums:
-    """Counts per fingerprint, combined within the task up to a bound."""
+    """Counts per key, combined within the task up to a bound; of a row's ``width`` key columns those a key lacks are null."""
 
-    def __init__(self):
-        self.keys, self.counts, self.rows = [], [], 0
+    def __init__(self, width: int):
+        self.width, self.parts, self.rows = width, [], 0
 
-    def add(self, keys: np.ndarray) -> bool:
-        values, counts = np.unique(keys, return_counts=True)
-        self.keys.append(values)
-        self.counts.append(counts)
-        self.rows += len(values)
+    def add(self, keys: list[np.ndarray]) -> bool:
+        self.parts.append(_summed(keys))
+        self.rows += len(self.parts[-1][1])
         if self.rows > HELD_ROWS:
-            keys, counts = self._merged()
-            self.keys, self.counts, self.rows = [keys], [counts], len(keys)
+            self.parts = [self._merged()]
+            self.rows = len(self.parts[0][1])
         return 2 * self.rows > HELD_ROWS
 
-    def _merged(self) -> tuple[np.ndarray, np.ndarray]:
-        if not self.keys:
-            return np.empty(0, np.uint64), np.empty(0, np.int64)
-        keys, inverse = np.unique(np.concatenate(self.keys), return_inverse=True)
-        return keys, np.bincount(inverse, weights=np.concatenate(self.counts)).astype(np.int64)
+    def _merged(self) -> tuple[list[np.ndarray], np.ndarray]:
+        if not self.parts:
+            return [np.empty(0, np.uint64)], np.empty(0, np.int64)
+        keys, counts = zip(*self.parts)
+        return _summed([np.concatenate(k) for k in zip(*keys)], np.concatenate(counts))
 
     def flush(self) -> pa.RecordBatch:
         keys, counts = self._merged()
-        self.__init__()
-        none = pa.nulls(len(keys), pa.string())
-        return pa.RecordBatch.from_arrays([none, pa.array(keys.view(np.int64), pa.int64()), pa.array(counts, pa.int64())], ["lang", "key", "n"])
+        self.__init__(self.width)
+        columns = [pa.array(k.view(np.int64), pa.int64()) for k in keys]
+        columns += [pa.nulls(len(counts), pa.int64())] * (self.width - len(keys))
+        return pa.RecordBatch.from_arrays(
+            [pa.nulls(len(counts), pa.string()), *columns, pa.array(counts, pa.int64())], ["lang", *key_columns(2 * self.width), "n"]
+        )
+
+
+def key_columns(n: int) -> list[str]:
+    """Columns of an n-gram's key: two words each."""
+    return [f"key{i}" for i in range((n + 1) // 2)]
 
 
 def marked(bitmap: np.ndarray, fingerprints: np.ndarray) -> np.ndarray:
@@ -194,31 +217,72 @@ def marked(bitmap: np.ndarray, fingerprints: np.ndarray) -> np.ndarray:
     return (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _words(chunk: int, bits: int):
+def _words(chunk: int, bits: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, sums, totals = Powers(), Sums(), Counter()
+        powers, sums, totals = Powers(), Sums(width), Counter()
         for lang, raw in _runs(batches, chunk):
             part = Chunk(raw, lang, powers, bits)
             totals[lang] += len(part.starts)
-            if sums.add(part.fingerprints(part.grams(1), 1)):
+            if sums.add([part.fingerprints()]):
                 yield sums.flush()
         yield sums.flush()
+        none = [pa.nulls(len(totals), pa.int64())] * width
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(totals), pa.string()), pa.nulls(len(totals), pa.int64()), pa.array(list(totals.values()), pa.int64())], ["lang", "key", "n"]
+            [pa.array(list(totals), pa.string()), *none, pa.array(list(totals.values()), pa.int64())], ["lang", *key_columns(2 * width), "n"]
         )
     return run
 
 
-def _known(part: Chunk, maps: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(first words, fingerprints) of the n-grams of 1, 2, ... words that their map marks, as all their parts."""
-    first, keys = part.grams(1), part.fingerprints(part.grams(1), 1)
-    for n, bitmap in enumerate(maps, 1):
-        if n > 1:
-            first = _grown(part, first, n)
-            keys = part.fingerprints(first, n)
-        hit = marked(bitmap, keys)
-        first, keys = first[hit], keys[hit]
-        yield first, keys
+def _vocabulary(chunk: int, bits: int, words):
+    """Counts by text of the marked words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
+            rows = [(lang, word, number, n) for lang, found in counts.items() for (word, number), n in found.items()]
+            counts.clear()
+            kinds = pa.string(), pa.binary(), pa.int64(), pa.int64()
+            columns = zip(*rows) if rows else [[]] * 4
+            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], ["lang", "word", "number", "n"])
+
+        powers, counts, bitmap = Powers(), defaultdict(Counter), np.frombuffer(words.value, np.uint8)
+        for lang, raw in _runs(batches, chunk):
+            part = Chunk(raw, lang, powers, bits)
+            keys = part.fingerprints()
+            pointers, found = np.unique(part.word_ids(keys)[marked(bitmap, keys)], return_counts=True)
+            for pointer, number, n in zip(pointers.tolist(), numbers_of(keys[pointers]).tolist(), found.tolist()):
+                counts[lang][part.word(pointer), number] += n
+            if sum(map(len, counts.values())) > HELD_WORDS:
+                yield flush()
+        yield flush()
+    return run
+
+
+def numbers_of(fingerprints: np.ndarray) -> np.ndarray:
+    return fingerprints >> np.uint64(64 - NUMBER_BITS)
+
+
+def _numbered(part: Chunk, lang: str, bitmap: np.ndarray, shared: np.ndarray, renamed: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the marked words, and the numbers of all words; of the words that share a number ``renamed`` has the frequent ones."""
+    keys = part.fingerprints()
+    numbers, known = numbers_of(keys), marked(bitmap, keys)
+    if len(shared):
+        for at in np.flatnonzero(known & np.isin(numbers, shared)).tolist():
+            number = renamed.get((lang, part.word(at)))
+            known[at], numbers[at] = number is not None, number or 0
+    return np.flatnonzero(known), numbers
+
+
+def gram_keys(numbers: np.ndarray, first: np.ndarray, n: int) -> list[np.ndarray]:
+    """Keys of the n-grams that begin at ``first``: the numbers of two words in each column."""
+    shift = np.uint64(32)
+    return [numbers[first + i] << shift | (numbers[first + i + 1] if i + 1 < n else np.uint64(0)) for i in range(0, n, 2)]
+
+
+def spread(keys: list[np.ndarray]) -> np.ndarray:
+    """One fingerprint of a key, for its place in a map."""
+    out = mixed(keys[0])
+    for key in keys[1:]:
+        out = mixed(out * np.uint64(_MULTIPLIER) + key)
+    return out
 
 
 def _grown(part: Chunk, first: np.ndarray, n: int) -> np.ndarray:
@@ -229,73 +293,28 @@ def _grown(part: Chunk, first: np.ndarray, n: int) -> np.ndarray:
     return grams[here[grams] & here[grams + 1]]
 
 
-def _grams(chunk: int, bits: int, maps):
+def _grams(chunk: int, bits: int, width: int, maps, clashes):
     """Counts of the n-grams one word longer than the last of ``maps`` has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, sums, known = Powers(), Sums(), [np.frombuffer(m.value, np.uint8) for m in maps]
+        powers, sums, bitmaps = Powers(), Sums(width), [np.frombuffer(m.value, np.uint8) for m in maps]
+        shared, renamed = clashes.value
         for lang, raw in _runs(batches, chunk):
             part = Chunk(raw, lang, powers, bits)
-            *_, (first, _) = _known(part, known)
-            if sums.add(part.fingerprints(_grown(part, first, len(maps) + 1), len(maps) + 1)):
+            first, numbers = _numbered(part, lang, bitmaps[0], shared, renamed)
+            for n, bitmap in enumerate(bitmaps[1:], 2):
+                first = _grown(part, first, n)
+                first = first[marked(bitmap, spread(gram_keys(numbers, first, n)))]
+            n = len(bitmaps) + 1
+            if sums.add(gram_keys(numbers, _grown(part, first, n), n)):
                 yield sums.flush()
         yield sums.flush()
     return run
 
 
-def _paired_words(chunk: int, bits: int, maps):
-    """The words that stand in a marked pair: no other word is part of a phrase."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, sums, known = Powers(), Sums(), [np.frombuffer(m.value, np.uint8) for m in maps]
-        for lang, raw in _runs(batches, chunk):
-            part = Chunk(raw, lang, powers, bits)
-            *_, (first, _) = _known(part, known)
-            if sums.add(part.fingerprints(np.union1d(first, first + 1), 1)):
-                yield sums.flush()
-        yield sums.flush()
-    return run
-
-
-def _phrases(chunk: int, bits: int, maps):
-    """Counts by text of the marked n-grams."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush() -> pa.RecordBatch:
-            columns = [[], [], [], []]
-            for (lang, n), found in counts.items():
-                for column, values in zip(columns, ([lang] * len(found), [n] * len(found), found, found.values())):
-                    column.extend(values)
-            counts.clear()
-            kinds = pa.string(), pa.int32(), pa.binary(), pa.int64()
-            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(columns, kinds)], ["lang", "words", "phrase", "n"])
-
-        powers, counts, known = Powers(), defaultdict(Counter), [np.frombuffer(m.value, np.uint8) for m in maps]
-        for lang, raw in _runs(batches, chunk):
-            part = Chunk(raw, lang, powers, bits)
-            ids = part.word_ids(part.fingerprints(part.grams(1), 1))
-            for n, (first, keys) in enumerate(_known(part, known), 1):
-                sums = counts[lang, n]
-                for pointer, count in pointers(keys, first, ids, n):
-                    sums[part.phrase(pointer, n)] += count
-            if sum(map(len, counts.values())) > HELD_PHRASES:
-                yield flush()
-        yield flush()
-    return run
-
-
-def pointers(keys: np.ndarray, first: np.ndarray, ids: np.ndarray, n: int) -> Iterator[tuple[int, int]]:
-    """(first word of one occurrence, occurrences) of each distinct n-gram.
-
-    N-grams with equal fingerprints are one if all their words are; else they are told apart by their words.
-    """
-    _, pointer, inverse, counts = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
-    pointer = first[pointer]
-    same = np.ones(len(first), bool)
-    for i in range(n):
-        same &= ids[first + i] == ids[pointer[inverse] + i]
-    if same.all():
-        yield from zip(pointer.tolist(), counts.tolist())
-    elif len(first):
-        _, at, counts = np.unique(np.column_stack([ids[first + i] for i in range(n)]), axis=0, return_index=True, return_counts=True)
-        yield from zip(first[at].tolist(), counts.tolist())
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = [column.to_numpy().view(np.uint64) for column in batch.columns]
+        yield pa.RecordBatch.from_arrays([pa.array(spread(keys).view(np.int64), pa.int64())], ["key"])
 
 
 def bit_map(keys: DataFrame) -> bytes:
@@ -307,27 +326,57 @@ def bit_map(keys: DataFrame) -> bytes:
     return cells.tobytes()
 
 
-def frequent_phrases(spark: SparkSession, docs: DataFrame, least: int, longest: int, chunk: int = CHUNK, bits: int = 64) -> tuple[DataFrame, DataFrame]:
-    """(lang, words, phrase, f) of all phrases with at least ``least`` occurrences, and (lang, n) word totals.
+def numbered_words(spark: SparkSession, counted: DataFrame, least: int) -> tuple[DataFrame, tuple[np.ndarray, dict]]:
+    """(lang, word, number, f) of the frequent words, and the collisions: shared numbers, and the new number by (lang, word).
+
+    ``counted`` has all marked words. About the square of their number over 2^32 share a number; only those
+    reach the driver.
+    """
+    several = counted.groupBy("number").agg(F.count("*").alias("words")).where("words > 1").select("number")
+    found = counted.join(several, "number").select("lang", "word", "number", "f").toArrow().to_pylist()
+    shared = np.array(sorted({r["number"] for r in found}), np.uint64)
+    frequent = sorted((r["lang"], r["word"]) for r in found if r["f"] >= least)
+    renamed = {word: (1 << NUMBER_BITS) + i for i, word in enumerate(frequent)}
+    vocabulary = counted.where(F.col("f") >= least)
+    if renamed:
+        new = spark.createDataFrame([(*word, number) for word, number in renamed.items()], "lang string, word binary, own long")
+        vocabulary = vocabulary.join(F.broadcast(new), ["lang", "word"], "left").withColumn("number", F.coalesce("own", "number"))
+    return vocabulary.select("lang", F.col("word").cast("string").alias("word"), "number", "f"), (shared, renamed)
+
+
+def _text(counts: DataFrame, n: int, vocabulary: DataFrame) -> DataFrame:
+    """(lang, words, phrase, f) of n-grams with counts by key."""
+    number = [f"shiftrightunsigned(key{i // 2}, 32)" if i % 2 == 0 else f"key{i // 2} & 4294967295L" for i in range(n)]
+    found = counts.selectExpr(*[f"{sql} AS number{i}" for i, sql in enumerate(number)], "n AS f")
+    for i in range(n):
+        also = ["lang"] if i == 0 else []  # numbers of a language are its own
+        found = found.join(vocabulary.selectExpr(f"number AS number{i}", f"word AS word{i}", *also), f"number{i}")
+    return found.select("lang", F.lit(n).alias("words"), F.concat_ws(" ", *[f"word{i}" for i in range(n)]).alias("phrase"), "f")
+
 
-    Of single words only those in a pair that may be frequent are among them.
+def frequent_phrases(spark: SparkSession, docs: DataFrame, least: int, longest: int, chunk: int = CHUNK, bits: int = 64) -> tuple[DataFrame, DataFrame]:
+    """(lang, words, phrase, f) of all phrases, single words too, with at least ``least`` occurrences, and (lang, n) word totals.
 
     ``bits`` of a fingerprint are used; fewer only make collisions, for tests.
     """
-    texts, rows, summed = docs.select("lang", "text"), "lang string, key long, n long", F.sum("n").alias("n")
-    enough = F.col("n") >= least
-    singles = stored(texts.mapInArrow(_words(chunk, bits), rows).groupBy("lang", "key").agg(summed), "collocations-words")
-    maps = [spark.sparkContext.broadcast(bit_map(singles.where("key IS NOT NULL").where(enough)))]
-    while len(maps) < longest:
-        counts = texts.mapInArrow(_grams(chunk, bits, list(maps)), rows).groupBy("key").agg(summed)
-        maps.append(spark.sparkContext.broadcast(bit_map(counts.where(enough))))
-    if len(maps) > 1:
-        paired = texts.mapInArrow(_paired_words(chunk, bits, maps[:2]), rows).select("key").distinct()
-        maps[0] = spark.sparkContext.broadcast(bit_map(paired))
-    found = texts.mapInArrow(_phrases(chunk, bits, maps), "lang string, words int, phrase binary, n long")
-    counted = found.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
-    phrases = stored(counted.select("lang", "words", F.col("phrase").cast("string").alias("phrase"), "f"), "collocations-phrases")
-    return phrases, singles.where("lang IS NOT NULL").select("lang", "n")
+    texts, summed, enough = docs.select("lang", "text"), F.sum("n").alias("n"), F.col("n") >= least
+    names = key_columns(longest)
+    rows, width = ", ".join(["lang string", *[f"{name} long" for name in names], "n long"]), len(names)
+    singles = stored(texts.mapInArrow(_words(chunk, bits, width), rows).groupBy("lang", "key0").agg(summed), "collocations-words")
+    maps = [spark.sparkContext.broadcast(bit_map(singles.where("key0 IS NOT NULL").where(enough).selectExpr("key0 AS key")))]
+    counted = texts.mapInArrow(_vocabulary(chunk, bits, maps[0]), "lang string, word binary, number long, n long")
+    counted = stored(counted.groupBy("lang", "word", "number").agg(F.sum("n").alias("f")), "collocations-vocabulary")
+    vocabulary, collisions = numbered_words(spark, counted, least)
+    clashes = spark.sparkContext.broadcast(collisions)
+    found = vocabulary.select("lang", F.lit(1).alias("words"), F.col("word").alias("phrase"), "f")
+    for n in range(2, longest + 1):
+        keys = key_columns(n)
+        counts = texts.mapInArrow(_grams(chunk, bits, width, list(maps), clashes), rows).groupBy(*keys).agg(summed)
+        counts = stored(counts.where(enough), f"collocations-{n}")
+        if n < longest:
+            maps.append(spark.sparkContext.broadcast(bit_map(counts.select(*keys).mapInArrow(_places, "key long"))))
+        found = found.unionByName(_text(counts, n, vocabulary))
+    return stored(found, "collocations-phrases"), singles.where("lang IS NOT NULL").select("lang", "n")
 
 
 def collocations(
